@@ -5,11 +5,25 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from biblioflow.llm import chunks, leaks, tokens
+from biblioflow.llm import chunks, leaks, neardup, tokens
 from biblioflow.session import table
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of rows in one group, as the result is defined."""
+    classes = p2_classes(spark, sf_dir)
+    a = classes.select(F.col("ref_id").alias("ref_a"), "class")
+    b = classes.select(F.col("ref_id").alias("ref_b"), "class")
+    return a.join(b, "class").where("ref_a < ref_b").select("ref_a", "ref_b")
+
+
+def p2_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    refs = table(spark, sf_dir, "bib_references", "ref_id", "description")
+    return neardup.near_duplicates(refs, "ref_id", "description")
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return tokens.encode_corpus(docs, "doc_id", "text")
@@ -31,7 +45,7 @@ def p10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p8_ids, p9_found, p10_found, p10_pieces)}
+    return {f.__name__: f for f in (p2_found, p2_classes, p8_ids, p9_found, p10_found, p10_pieces)}
 
 
 def oracle_sql() -> dict[str, str]:
