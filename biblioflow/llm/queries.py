@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from biblioflow.llm import chunks, leaks, neardup, tokens
+from biblioflow.llm import chunks, leaks, mojibake, neardup, tokens
 from biblioflow.session import table
 
 
@@ -24,6 +24,22 @@ def p2_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(refs, "ref_id", "description")
 
 
+def p7_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    articles = table(spark, sf_dir, "articles", "seq", "title_orig", "abstract_orig")
+    refs = table(spark, sf_dir, "bib_references", "ref_id", "description")
+    a = mojibake.restore(articles, "seq", ["title_orig", "abstract_orig"])
+    b = mojibake.restore(refs, "ref_id", ["description"])
+    return (
+        a.select(F.lit("articles").alias("src"), F.col("seq").alias("rec_id"), "field", "restored", "layers")
+        .unionByName(b.select(F.lit("bib_references").alias("src"), F.col("ref_id").alias("rec_id"), "field", "restored", "layers"))
+        .distinct()
+    )
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p7_restored(spark, sf_dir).select("src", "rec_id", "field").distinct()
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return tokens.encode_corpus(docs, "doc_id", "text")
@@ -45,7 +61,7 @@ def p10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_classes, p8_ids, p9_found, p10_found, p10_pieces)}
+    return {f.__name__: f for f in (p2_found, p2_classes, p7_found, p7_restored, p8_ids, p9_found, p10_found, p10_pieces)}
 
 
 def oracle_sql() -> dict[str, str]:
