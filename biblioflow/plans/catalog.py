@@ -5,10 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from biblioflow.operators import multivalue
+from biblioflow.session import table
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    articles = table(spark, sf_dir, "articles", "seq", "keywords_orig", "keywords_en")
+    got = multivalue.split_values(articles, "seq", ["keywords_orig", "keywords_en"])
+    return got.select("seq", "field", "pos", F.col("value").alias("keyword_text"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {"p1_found": p1_found}
 
 
 def oracle_sql() -> dict[str, str]:
