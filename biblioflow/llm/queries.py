@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from biblioflow.llm import chunks, leaks, mojibake, neardup, tokens
+from biblioflow.llm import chunks, language, leaks, mojibake, neardup, tokens
 from biblioflow.session import table
 
 
@@ -24,6 +24,17 @@ def p2_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(refs, "ref_id", "description")
 
 
+def p5_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every language of every title and abstract with its confidence."""
+    articles = table(spark, sf_dir, "articles", "seq", "article_language", "title_orig", "abstract_orig", "abstract_en")
+    model = language.train(articles, "seq", "article_language", "abstract_orig", "abstract_en")
+    return language.identify(articles, "seq", {"title_orig": False, "abstract_orig": True}, model, "article_language")
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p5_languages(spark, sf_dir).where("lang <> label_lang").select("seq", "field", "lang").distinct()
+
+
 def p7_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     articles = table(spark, sf_dir, "articles", "seq", "title_orig", "abstract_orig")
     refs = table(spark, sf_dir, "bib_references", "ref_id", "description")
@@ -61,7 +72,7 @@ def p10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_classes, p7_found, p7_restored, p8_ids, p9_found, p10_found, p10_pieces)}
+    return {f.__name__: f for f in (p2_found, p2_classes, p5_found, p5_languages, p7_found, p7_restored, p8_ids, p9_found, p10_found, p10_pieces)}
 
 
 def oracle_sql() -> dict[str, str]:
