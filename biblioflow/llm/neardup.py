@@ -141,7 +141,7 @@ def _bands(df: DataFrame, text: str, common: list[int], rows: int, bands: int) -
             for part, salt in ((rare, 0), (full, FULL)):
                 docs, keys = signature_bands(h[part], doc[part], rows, bands)
                 if len(docs):
-                    keys = mix(keys + np.uint64(salt))
+                    keys = mix(keys + np.uint64(salt)) >> np.uint64(24)  # 40 bits are plenty and shuffle smaller
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.tile(node[docs], len(keys)))],
                         ["key", "node"],
@@ -168,7 +168,7 @@ def _nodes(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, node bigint, text string")
 
 
-SMALL = 48
+SMALL = 128
 MARK = np.int64(-(2**63))
 
 
@@ -299,7 +299,8 @@ def _rest(keyed: DataFrame, hot: DataFrame, comps: DataFrame) -> DataFrame:
     A link inside a component changes no class, so each node outside its bucket's
     largest component meets the nodes of that bucket that lie in other components.
     """
-    member = keyed.join(hot, "key").distinct().join(comps, "node", "left")
+    few = hot.limit(20_001).count() <= 20_000  # a checked size: 160 kB of keys
+    member = keyed.join(F.broadcast(hot) if few else hot, "key").distinct().join(comps, "node", "left")
     member = checkpoint(member.select("key", "node", F.coalesce("comp", "node").alias("comp")))
     size = member.groupBy("key", "comp").agg(F.count("*").alias("n"))
     main = size.groupBy("key").agg(F.max(F.struct("n", "comp"))["comp"].alias("main"))

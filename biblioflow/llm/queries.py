@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from biblioflow.llm import chunks, language, leaks, mojibake, neardup, tokens
+from biblioflow.llm import chunks, language, leaks, mojibake, names, neardup, tokens
 from biblioflow.session import table
 
 
@@ -24,6 +24,19 @@ def p2_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(refs, "ref_id", "description")
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    authors = table(spark, sf_dir, "authors")
+    institutions = table(spark, sf_dir, "institutions")
+    persons, organisations = names.link(authors, institutions)
+    a, b = persons.alias("a"), persons.alias("b")
+    same = (F.col("a.person") == F.col("b.person")) & (F.col("a.author_id") < F.col("b.author_id"))
+    typed = (F.col("a.first") != F.col("b.first")) | (F.col("a.middle") != F.col("b.middle")) | (F.col("a.last") != F.col("b.last"))
+    pairs = a.join(b, same & typed).select(F.lit("person").alias("kind"), F.col("a.author_id").alias("key_a"), F.col("b.author_id").alias("key_b"))
+    official = institutions.select("inst_id", "official_name")
+    named = organisations.join(official, "inst_id").where("text <> official_name")
+    return pairs.unionByName(named.select(F.lit("organisation").alias("kind"), F.col("author_id").alias("key_a"), F.col("inst_id").alias("key_b"))).distinct()
+
+
 def p5_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every language of every title and abstract with its confidence."""
     articles = table(spark, sf_dir, "articles", "seq", "article_language", "title_orig", "abstract_orig", "abstract_en")
@@ -72,7 +85,7 @@ def p10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_classes, p5_found, p5_languages, p7_found, p7_restored, p8_ids, p9_found, p10_found, p10_pieces)}
+    return {f.__name__: f for f in (p2_found, p2_classes, p4_found, p5_found, p5_languages, p7_found, p7_restored, p8_ids, p9_found, p10_found, p10_pieces)}
 
 
 def oracle_sql() -> dict[str, str]:
