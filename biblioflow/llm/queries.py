@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from biblioflow.llm import chunks, language, leaks, mojibake, names, neardup, tokens
+from biblioflow.llm import bitext, chunks, language, leaks, mojibake, names, neardup, tokens
 from biblioflow.session import table
 
 
@@ -24,6 +24,11 @@ def p2_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(refs, "ref_id", "description")
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    articles = table(spark, sf_dir, "articles", "seq", "abstract_orig", "abstract_en")
+    return bitext.align_table(articles, "seq", "abstract_orig", "abstract_en").select("seq", "orig_no", "en_no")
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     authors = table(spark, sf_dir, "authors")
     institutions = table(spark, sf_dir, "institutions")
@@ -85,7 +90,7 @@ def p10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_classes, p4_found, p5_found, p5_languages, p7_found, p7_restored, p8_ids, p9_found, p10_found, p10_pieces)}
+    return {f.__name__: f for f in (p2_found, p2_classes, p3_found, p4_found, p5_found, p5_languages, p7_found, p7_restored, p8_ids, p9_found, p10_found, p10_pieces)}
 
 
 def oracle_sql() -> dict[str, str]:
