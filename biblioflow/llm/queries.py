@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from biblioflow.llm import bitext, chunks, language, leaks, mojibake, names, neardup, tokens
+from biblioflow.llm import bitext, chunks, language, leaks, mojibake, names, neardup, scans, tokens
 from biblioflow.session import table
 
 
@@ -53,6 +53,26 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p5_languages(spark, sf_dir).where("lang <> label_lang").select("seq", "field", "lang").distinct()
 
 
+def p6_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Continuous text of every record damaged by scanning."""
+    articles = table(spark, sf_dir, "articles", "seq", "abstract_orig")
+    refs = table(spark, sf_dir, "bib_references", "ref_id", "description")
+    a = articles.select(F.lit("articles").alias("src"), F.col("seq").alias("rec_id"), F.col("abstract_orig").alias("text"))
+    b = refs.select(F.lit("bib_references").alias("src"), F.col("ref_id").alias("rec_id"), F.col("description").alias("text"))
+    both = a.unionByName(b)
+    known = scans.known_words(both, ["text"])
+    editor = scans.train(both, "text", known, scans.frequent_titles(refs, "description"))
+    parts = [
+        scans.restore(d, "rec_id", "text", editor).select(F.lit(src).alias("src"), "rec_id", "restored", "edits")
+        for src, d in (("articles", a), ("bib_references", b))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p6_restored(spark, sf_dir).select("src", "rec_id").distinct()
+
+
 def p7_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     articles = table(spark, sf_dir, "articles", "seq", "title_orig", "abstract_orig")
     refs = table(spark, sf_dir, "bib_references", "ref_id", "description")
@@ -90,7 +110,7 @@ def p10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_classes, p3_found, p4_found, p5_found, p5_languages, p7_found, p7_restored, p8_ids, p9_found, p10_found, p10_pieces)}
+    return {f.__name__: f for f in (p2_found, p2_classes, p3_found, p4_found, p5_found, p5_languages, p6_found, p6_restored, p7_found, p7_restored, p8_ids, p9_found, p10_found, p10_pieces)}
 
 
 def oracle_sql() -> dict[str, str]:
