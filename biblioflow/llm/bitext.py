@@ -214,7 +214,7 @@ def align_table(df: DataFrame, key: str, left: str, right: str, cover: float = C
     """
     both = df.select(F.col(key).alias("key"), F.col(left).alias("a"), F.col(right).alias("b"))
     both = both.where(F.col("a").rlike(r"\w") & F.col("b").rlike(r"\w") & F.col("key").isNotNull()).dropDuplicates(["key"])
-    both = checkpoint(both.repartition(max(8, df.sparkSession.sparkContext.defaultParallelism), "key"))
+    both = checkpoint(both.repartition(max(24, 3 * df.sparkSession.sparkContext.defaultParallelism), "key"))
     table = df.sparkSession.sparkContext.broadcast(lexicon(both, "a", "b"))
     kind = df.schema[key].dataType.simpleString()
 
