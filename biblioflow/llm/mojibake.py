@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LAYERS = 4
+LAYERS = 6
 # Letters of the languages at hand, and marks used in print.
 LETTERS = "áàâãäçéèêëíîïñóôõöúùûüœæ"
 MARKS = "–—‘’“”„«»‹›…•·°ºª¿¡§€™©®±×÷\u00a0\u00ad\u200b\u2009\u202f\u3000\ufeff¬−"
@@ -27,7 +27,7 @@ _TORN = "´`ˆ˜¸¨"
 _COMBINE = {"´": "\u0301", "`": "\u0300", "ˆ": "\u0302", "˜": "\u0303", "¸": "\u0327", "¨": "\u0308", "~": "\u0303", "^": "\u0302"}
 _RUN = re.compile(r"[^\x00-\x7f]+(?:[^\x00-\x7f]| (?=[^\x00-\x7f]))*")
 _ENTITY = re.compile(r"&(?:[A-Za-z][A-Za-z0-9]{1,30}|#\d{1,6}|#x[0-9A-Fa-f]{1,5});")
-_LOST = re.compile(r"(?<![\w/:.=&?%-])\?{2,}(?=[^\W\d_])|(?<=[^\W\d_])\?+(?=[^\W\d_])|(?<=[a-zà-ÿ])\?{2,}(?![?!])")
+_LOST = re.compile(r"(?<![\w/:.=&?%-])\?{2,}(?=[^\W\d_])|(?<=[^\W\d_])\?+(?=[a-zà-öø-ÿ])|(?<=[a-zà-ÿ])\?{2,}(?![?!])")
 _URL = re.compile(r"(?:https?://|www\.)\S+")
 _ENCODINGS = ("cp1252", "latin-1", "mac_roman", "cp850", "cp437", "cp1251", "cp1250", "iso8859-15")
 _SINGLE = tuple((a, "cp1252") for a in ("cp850", "cp437", "cp1251", "mac_roman", "cp1250")) + (
@@ -145,6 +145,10 @@ _BEFORE = re.compile(rf"([{_TORN}])([A-Za-zı])")
 _AFTER = re.compile(rf"([A-Za-zı])([{_TORN}])")
 
 
+_USUAL = re.compile("ão|õe|ãe")
+_ODD = re.compile("aõ|oẽ|oã|aẽ|[aeo]ũ")
+
+
 def _attach(text: str) -> str:
     """Put torn-off accents back, on the side that gives more real letters."""
 
@@ -156,10 +160,12 @@ def _attach(text: str) -> str:
     text = re.sub(r"¸([cC])", lambda m: "ç" if m.group(1) == "c" else "Ç", text)
     ahead = sum(1 for m in _BEFORE.finditer(text) if join(m[2], m[1]))
     behind = sum(1 for m in _AFTER.finditer(text) if join(m[1], m[2]))
-    if ahead >= behind:
-        text = _BEFORE.sub(lambda m: join(m[2], m[1]) or m[0], text)
-    else:
-        text = _AFTER.sub(lambda m: join(m[1], m[2]) or m[0], text)
+    before = _BEFORE.sub(lambda m: join(m[2], m[1]) or m[0], text)
+    after = _AFTER.sub(lambda m: join(m[1], m[2]) or m[0], text)
+    # where both sides compose, usual vowel pairs decide
+    ahead += 2 * len(_USUAL.findall(before)) - 2 * len(_ODD.findall(before))
+    behind += 2 * len(_USUAL.findall(after)) - 2 * len(_ODD.findall(after))
+    text = before if ahead >= behind else after
     return text.replace("ı", "i")
 
 
@@ -185,7 +191,7 @@ def repair(text: str | None) -> tuple[str | None, bool, int]:
                 got = undone
         if got == text:
             got = _best(text, True)
-        if got == text or garble_cost(got) > 0:
+        if got == text:
             got = _runs(got)
         if got == text:
             break
