@@ -2,7 +2,7 @@
 
 Words are hashed into a universe of 2**16 places. A first permutation shuffles
 the places; coordinate k of the signature is the least value that a second
-permutation, shifted circularly by k, gives any word of the record. Four
+permutation, shifted circularly by k, gives any word of the record. Five
 coordinates make a band; records that agree in a band are candidates, and the
 exact Jaccard similarity of their word sets decides.
 
@@ -28,8 +28,8 @@ from biblioflow.session import checkpoint
 THRESHOLD = 0.65
 COMMON = 0.005
 FEW = 6
-ROWS = 4
-BANDS = 20
+ROWS = 5
+BANDS = 24
 FULL = 64
 UNIVERSE = 1 << 16
 
@@ -117,64 +117,59 @@ def common_words(df: DataFrame, text: str, share: float = COMMON) -> list[int]:
     return sorted(r["h"] for r in counts.where((F.col("n") > limit) & (F.col("h") != 0)).select("h").collect())
 
 
-def _bands(df: DataFrame, text: str, common: list[int], rows: int, bands: int) -> DataFrame:
-    """(key, node): node is the hash of a record's word set, so exact copies are one node."""
-    known = df.sparkSession.sparkContext.broadcast(np.sort(np.array(common, np.int64).view(np.uint64)))
+def _bands(base: DataFrame, common: list[int], rows: int, bands: int) -> DataFrame:
+    """(key, node, kind) of base(node, text): band keys of records, and copies.
+
+    Of records with the same word set in one input partition only the first is
+    banded (kind BAND); every further one is linked to it at once (kind COPY, key
+    holds the copy), so a text that a third of all rows repeat enters each bucket
+    once per partition.
+    """
+    known = base.sparkSession.sparkContext.broadcast(np.sort(np.array(common, np.int64).view(np.uint64)))
 
     def run(batches):
-        seen = np.zeros(0, np.int64)
+        seen: dict[int, int] = {}
         for batch in batches:
-            texts = batch.column(0).to_pylist()
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            texts = batch.column(1).to_pylist()
             h, doc = _distinct_words(texts)
-            node = _set_hash(h, doc, len(texts))
-            _, first = np.unique(node, return_index=True)
-            first = first[~np.isin(node[first], seen)]
+            has = np.bincount(doc, minlength=len(texts)) > 0
             fresh = np.zeros(len(texts), bool)
-            fresh[first] = True
-            if len(seen) < 1_000_000:  # copies that slip through only repeat rows
-                seen = np.concatenate([seen, node[first]])
+            copies, firsts = [], []
+            for i, (s, ok) in enumerate(zip(_set_hash(h, doc, len(texts)).tolist(), has.tolist())):
+                if not ok:
+                    continue
+                first = seen.get(s)
+                if first is None:
+                    fresh[i] = True
+                    if len(seen) < 1_000_000:  # later copies are then found by their buckets
+                        seen[s] = ids[i]
+                elif first != ids[i]:
+                    copies.append(ids[i])
+                    firsts.append(first)
             table = known.value
             spot = np.minimum(np.searchsorted(table, h), max(len(table) - 1, 0))
             rare = fresh[doc] & ((table[spot] != h) if len(table) else True)
             few = fresh & (np.bincount(doc[rare], minlength=len(texts)) < FEW)
-            full = few[doc]
-            for part, salt in ((rare, 0), (full, FULL)):
+            out = [(np.array(copies, np.int64), np.array(firsts, np.int64), COPY)]
+            for part, salt in ((rare, 0), (few[doc], FULL)):
                 docs, keys = signature_bands(h[part], doc[part], rows, bands)
-                if len(docs):
-                    keys = mix(keys + np.uint64(salt)) >> np.uint64(24)  # 40 bits are plenty and shuffle smaller
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.tile(node[docs], len(keys)))],
-                        ["key", "node"],
-                    )
-
-    return df.select(text).mapInArrow(run, "key bigint, node bigint")
+                keys = mix(keys + np.uint64(salt)) >> np.uint64(24)  # 40 bits are plenty and shuffle smaller
+                out.append((keys.reshape(-1).view(np.int64), np.tile(ids[docs], len(keys)), BAND))
+            for keys, nodes, kind in out:
+                if len(keys):
+                    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(nodes), pa.array(np.full(len(keys), kind, np.int8))], ["key", "node", "kind"])
 
+    return base.mapInArrow(run, "key bigint, node bigint, kind tinyint")
 
-def _nodes(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, node) of every row whose text has a word."""
 
-    def run(batches):
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            h, doc = _distinct_words(texts)
-            node = _set_hash(h, doc, len(texts))
-            has = np.flatnonzero(np.bincount(doc, minlength=len(texts)) > 0)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(has)), pa.array(node[has]), batch.column(1).take(pa.array(has))],
-                ["key", "node", "text"],
-            )
+BAND, COPY, HOT = 0, 1, 2
+SMALL = 256
 
-    kind = df.schema[key].dataType.simpleString()
-    return df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, node bigint, text string")
 
-
-SMALL = 128
-MARK = np.int64(-(2**63))
-
-
-def verify(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+def verify(pairs: DataFrame, base: DataFrame, threshold: float) -> DataFrame:
     """Pairs of nodes whose word sets share at least ``threshold`` of their union."""
-    text = nodes.groupBy("node").agg(F.min("text").alias("text"))
+    text = base.groupBy("node").agg(F.min("text").alias("text"))
     left = text.select(F.col("node").alias("a"), F.col("text").alias("ta"))
     right = text.select(F.col("node").alias("b"), F.col("text").alias("tb"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
@@ -201,71 +196,70 @@ def near_duplicates(df: DataFrame, key: str, text: str, threshold: float = THRES
 
     Two rows are linked when the word sets of their texts share at least
     ``threshold`` of their union; classes are closed under links, and a class is
-    named by one of its word-set hashes. Exact copies share a node and need no pair.
-    Null and empty texts and texts without a word are in no class; a key delivered
-    twice counts once; other columns are not read.
+    named by its least node (an integer key itself, else the key's hash). Null and
+    empty texts, texts without a word and null keys are in no class; a key delivered
+    twice counts once, with the least of its texts; other columns are not read.
     """
-    nodes = _nodes(df, key, text)
-    keyed = _bands(df, text, common_words(df, text, common), rows, bands)
-    found = checkpoint(_bucket_pairs(keyed))
-    text_of = nodes.select("node", "text")
-    edges = verify(found.where("b is not null"), text_of, threshold)
-    hot = found.where("b is null").select(F.col("a").alias("key"))
+    whole = df.schema[key].dataType.typeName() in ("long", "integer", "short", "byte")
+    node = F.col(key).cast("bigint") if whole else F.xxhash64(F.col(key))
+    base = df.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(node.alias("node"), F.col(text).alias("text"))
+    banded = _bands(base, common_words(df, text, common), rows, bands)
+    found = checkpoint(_bucket_pairs(banded))
+    copies = found.where(F.col("kind") == COPY).select("a", "b")
+    edges = verify(found.where(F.col("kind") == BAND).select("a", "b"), base, threshold).unionByName(copies)
+    hot = found.where(F.col("kind") == HOT).select(F.col("a").alias("key"))
     if not hot.isEmpty():
         edges = checkpoint(edges)
-        more = _rest(keyed, hot, components(edges))
-        edges = edges.unionByName(verify(more, text_of, threshold))
+        more = _rest(banded.where(F.col("kind") == BAND).select("key", "node"), hot, components(edges))
+        edges = edges.unionByName(verify(more, base, threshold))
     comps = components(edges)
-    member = nodes.groupBy("key", "node").agg(F.lit(1).alias("_one")).drop("_one")
-    named = member.join(comps, "node", "left").select("key", F.coalesce("comp", "node").alias("class"))
-    return named.select(F.col("key").alias(key), "class")
+    if whole:
+        return comps.select(F.col("node").cast(df.schema[key].dataType).alias(key), F.col("comp").alias("class"))
+    names = df.where(F.col(key).isNotNull()).select(F.col(key), node.alias("node")).distinct()
+    return names.join(comps, "node").select(key, F.col("comp").alias("class"))
 
 
-def _bucket_pairs(keyed: DataFrame) -> DataFrame:
-    """Distinct candidate pairs (a, b), and a row (key, null) for every large bucket.
+def _bucket_pairs(banded: DataFrame) -> DataFrame:
+    """Distinct (a, b, kind): candidate pairs, copies as they came, and (key, key, HOT) of large buckets.
 
     Buckets arrive sorted and stream through; a task holds one Arrow batch and at
     most one small bucket. Up to SMALL nodes give all their pairs. A larger bucket
     gives the pairs of its first SMALL nodes and the pair of every other node with
     the first one; `_rest` looks at what that leaves open.
     """
-    corners = [np.triu_indices(n, 1) for n in range(SMALL + 1)]
+    corners: dict[int, tuple] = {}
+
+    def emit(out):
+        a, b = np.concatenate([x[0] for x in out]), np.concatenate([x[1] for x in out])
+        kind = np.concatenate([np.full(len(x[0]), x[2], np.int8) for x in out])
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(kind)], ["a", "b", "kind"])
+
+    def pairs(keys, ids, start, stop, out):
+        size = stop - start
+        for n in np.unique(size[size > 1]).tolist():
+            first = start[size == n]
+            most = min(n, SMALL)
+            if most not in corners:
+                corners[most] = np.triu_indices(most, 1)
+            i, j = corners[most]
+            out.append((ids[first[:, None] + i].reshape(-1), ids[first[:, None] + j].reshape(-1), BAND))
+            if n > SMALL:
+                for f in first.tolist():
+                    out.append((np.full(n - SMALL, ids[f]), ids[f + SMALL : f + n], BAND))
+                    out.append((keys[f : f + 1], keys[f : f + 1], HOT))
 
     def run(batches):
         keys, ids = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        hot, hub = None, None
-
-        def emit(out):
-            a = np.concatenate([x for x, _ in out])
-            b = np.concatenate([y for _, y in out])
-            marks = b == MARK
-            lo, hi = np.minimum(a, b), np.maximum(a, b)
-            lo, hi = np.where(marks, a, lo), np.where(marks, b, hi)
-            return pa.RecordBatch.from_arrays([pa.array(lo), pa.array(hi, mask=marks)], ["a", "b"])
-
-        def pairs(keys, ids, start, stop, out):
-            size = stop - start
-            for n in np.unique(size):
-                if n < 2:
-                    continue
-                first = start[size == n]
-                if n <= SMALL:
-                    i, j = corners[n]
-                    out.append((ids[first[:, None] + i].reshape(-1), ids[first[:, None] + j].reshape(-1)))
-                    continue
-                i, j = corners[SMALL]
-                for f in first.tolist():
-                    block = ids[f : f + n]
-                    out.append((block[i], block[j]))
-                    out.append((np.full(n - SMALL, block[0]), block[SMALL:]))
-                    out.append((keys[f : f + 1], np.array([MARK])))
-
+        hot = hub = None
         for batch in batches:
-            k, v = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            k, v, kind = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(3))
             out: list = []
-            if hot is not None:
-                n = int(np.searchsorted(k != hot, True)) if (k != hot).any() else len(k)
-                out.append((np.full(n, hub), v[:n]))
+            if (kind == COPY).any():
+                out.append((k[kind == COPY], v[kind == COPY], COPY))
+                k, v = k[kind == BAND], v[kind == BAND]
+            if hot is not None and len(k):
+                n = int(np.argmax(k != hot)) if (k != hot).any() else len(k)
+                out.append((np.full(n, hub), v[:n], BAND))
                 k, v = k[n:], v[n:]
                 if len(k):
                     hot = None
@@ -289,8 +283,8 @@ def _bucket_pairs(keyed: DataFrame) -> DataFrame:
             pairs(keys, ids, np.zeros(1, np.int64), np.array([len(keys)]), out)
             yield emit(out)
 
-    found = keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "a bigint, b bigint")
-    return found.where("b is null or a < b").distinct()
+    found = banded.repartition("key").sortWithinPartitions("kind", "key", "node").mapInArrow(run, "a bigint, b bigint, kind tinyint")
+    return found.where((F.col("kind") == HOT) | (F.col("a") < F.col("b"))).distinct()
 
 
 def _rest(keyed: DataFrame, hot: DataFrame, comps: DataFrame) -> DataFrame:
