@@ -32,13 +32,16 @@ ROUNDS = 5
 # Characters as printed and as scanners misread them.
 CONFUSIONS = (
     ("o", "0"), ("l", "1"), ("i", "1"), ("s", "5"), ("a", "@"), ("e", "c"), ("i", "í"), ("ã", "ä"), ("õ", "ö"), ("m", "rn"), ("u", "ii"),
-    ("li", "h"), ("ç", "c,"), ("fi", "ﬁ"), ("fl", "ﬂ"), ("b", "6"), ("g", "9"), ("w", "vv"), ("l", "|"), ("i", "!"), ("d", "cl"),
+    ("li", "h"), ("ç", "c,"), ("fi", "ﬁ"), ("fl", "ﬂ"), ("b", "6"), ("g", "9"), ("w", "vv"), ("v", "\\/"), ("l", "|"), ("i", "!"), ("d", "cl"),
     ("ff", "ﬀ"), ("t", "+"), ("z", "2"), ("e", "€"), ("l", "£"), ("c", "¢"),
 )
 OPS = ("keep", "delete", "replace", "insert", "join")
 _L = r"[^\W\d_]"
 _MARK = re.compile(rf"(?<={_L})(?:(?:[-¬]|\xad)[^\S\n]*\r?\n\s*|\xad|¬\s*|- (?=[a-zß-öø-ÿ]))(?={_L})")
-_SPACED = re.compile(rf"(?<![\w'’.-]){_L}(?:[^\S\n]|[^\S\n]?\r?\n[^\S\n]?)(?:[a-zß-öø-ÿ](?:[^\S\n]|[^\S\n]?\r?\n[^\S\n]?)){{2,}}[a-zß-öø-ÿ](?![\w'’.-])")
+_GAP = r"(?:[^\S\n]|[^\S\n]?\r?\n[^\S\n]?)"
+_SPACED = re.compile(
+    rf"(?<![\w'’.-])(?:{_L}{_GAP}(?:[a-zß-öø-ÿ]{_GAP}){{2,}}[a-zß-öø-ÿ]|[A-ZÀ-ÖØ-Þ]{_GAP}(?:[A-ZÀ-ÖØ-Þ]{_GAP}){{2,}}[A-ZÀ-ÖØ-Þ])(?![\w'’.-])"
+)
 _TOKEN = re.compile(r"\S+")
 _CORE = re.compile(rf"^[^\w@|!+£€¢]*(.*?)[^\w@|!+]*$", re.S)
 _WORD = re.compile(rf"{_L}+(?:[-'’]{_L}+)*")
@@ -49,29 +52,26 @@ def _fold_case(word: str) -> str:
 
 
 def known_words(df: DataFrame, columns: list[str], share: float = SHARE) -> dict[str, int]:
-    """Counts of the words in at least ``share`` as many places as there are texts (and 8).
+    """Counts of the words that stand at least ``share`` times as often as there are texts (and 8 times).
 
     Counted over all rows; at most (mean words of a text) / share entries.
     """
 
     def count(frames):
         held: Counter = Counter()
-        rows = 0
         for pdf in frames:
             for c in columns:
                 for t in pdf[c]:
                     if t:
-                        rows += 1
                         held.update(_WORD.findall(t.lower()))
             if len(held) > 1_000_000:
                 yield pd.DataFrame({"word": list(held), "n": list(held.values())})
                 held = Counter()
-        held[""] += rows
         yield pd.DataFrame({"word": list(held), "n": list(held.values())})
 
+    floor = max(8.0, share * len(columns) * df.count())
     counts = df.select(*columns).mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    total = counts.where("word = ''").select(F.col("n").alias("total"))
-    kept = counts.crossJoin(F.broadcast(total)).where((F.col("n") >= F.greatest(F.lit(8.0), F.col("total") * F.lit(share))) & (F.col("word") != ""))
+    kept = counts.where(F.col("n") >= floor)
     return {r["word"].replace("’", "'"): r["n"] for r in kept.select("word", "n").collect()}
 
 
@@ -94,8 +94,35 @@ class Words:
                         self.counts.pop(seen, None)
                     at = w.find(good, at + 1)
 
-    def __contains__(self, word: str) -> bool:
-        return word in self.counts
+        self.parts = {w[i:j] for w in self.counts if len(w) > 4 for i in range(len(w)) for j in range(i + 2, min(len(w), i + 12) + 1) if j - i < len(w)}
+        self.judged: dict[str, int] = {}
+
+    def judge(self, token: str) -> int:
+        """0: known or without any evidence; 1: may be misread or a piece of a torn word; 2: one letter."""
+        if len(token) == 1:
+            got = 2 if token.isalpha() else 0
+        elif token.lower() in self.counts:
+            got = 0
+        else:
+            core = _CORE.match(token).group(1).lower().replace("’", "'")
+            tail = core.rpartition("'")[2]
+            got = int(core not in self.counts and (core in self.misread or tail in self.misread or core in self.parts))
+        if len(self.judged) < 500_000:
+            self.judged[token] = got
+        return got
+
+    def doubtful(self, text: str) -> tuple[bool, bool]:
+        """(whether any token needs a look, whether letters may stand apart)."""
+        known, one, singles = self.judged, False, 0
+        for t in text.split():
+            got = known.get(t)
+            if got is None:
+                got = self.judge(t)
+            if got == 1:
+                one = True
+            elif got:
+                singles += 1
+        return one, singles > 2
 
     def count(self, word: str) -> int:
         return self.counts.get(word, 0)
@@ -109,6 +136,10 @@ def places(text: str, words: Words) -> list[tuple[int, int, str, str, list[str]]
     """[(start, stop, edit, new text, features)] of the doubtful places, in order."""
     found: list[tuple[int, int, str, str, list[str]]] = []
     counts = words.counts
+    some, apart = words.doubtful(text)
+    marked = "\xad" in text or "¬" in text or "- " in text or "-\n" in text or "-\r" in text
+    if not (some or apart or marked):
+        return found
 
     def around(a: int, b: int) -> tuple[str, str]:
         left, right = a, b
@@ -125,14 +156,14 @@ def places(text: str, words: Words) -> list[tuple[int, int, str, str, list[str]]
             f"{kind} lengths {min(len(x), 3)}{min(len(y), 3)}",
         ]
 
-    if "-" in text or "¬" in text or "\xad" in text:
+    if marked:
         for m in _MARK.finditer(text):
             x, y = around(m.start(), m.end())
             g = m.group()
             kind = ("soft" if "\xad" in g else "not" if "¬" in g else "hyphen") + ("-line" if "\n" in g else "-space" if " " in g else "")
             found.append((m.start(), m.end(), "delete", "", pair_features(kind, x, y)))
     covered: list[tuple[int, int]] = []
-    for m in _SPACED.finditer(text):
+    for m in _SPACED.finditer(text) if apart else ():
         letters = re.sub(r"\s+", "", m.group())
         a, b = m.span()
         # a torn-off tail of the spaced word may follow as ordinary letters
@@ -144,7 +175,7 @@ def places(text: str, words: Words) -> list[tuple[int, int, str, str, list[str]]
         f = ["spaced", f"spaced known {known}", f"spaced plain {plain}", f"spaced length {min(len(letters), 8)}"]
         found.append((a, b, "delete", letters, f))
         covered.append((a, b))
-    toks = [(m.start(), m.end(), m.group()) for m in _TOKEN.finditer(text)]
+    toks = [(m.start(), m.end(), m.group()) for m in _TOKEN.finditer(text)] if some else []
     bare = []
     for a, b, t in toks:
         low = t.lower()
@@ -176,7 +207,7 @@ def places(text: str, words: Words) -> list[tuple[int, int, str, str, list[str]]
             odd = not bad.isalpha() or not bad.isascii()
             found.append((a + at, a + at + len(bad), edit, good, [f"misread {kind}", f"odd {odd}", f"word {_bucket(words.count(good_word))}", f"len {min(len(good_word), 8)} {odd}"]))
             continue
-        if i <= last or not w.isalpha() or len(w) > 14 or text[a].isupper() and not text[a:b].isupper() and w not in counts and len(w) > 6:
+        if i <= last or w not in words.parts or not w.isalpha() or len(w) > 14 or text[a].isupper() and not text[a:b].isupper() and w not in counts and len(w) > 6:
             continue
         # pieces of one torn word: two to five neighbours that join into a known word
         for n in (5, 4, 3, 2):
@@ -215,7 +246,7 @@ _INLINE = re.compile(
 )
 
 
-_HEADED = re.compile(r"[IVXLC] [A-ZÀ-Ý]|, (?:1[89]|20)\d\d [\w(–-]")
+_HINT = re.compile(r" \| |   |gina \d|Page \d| \[\d{1,5}\] [a-zà-ÿ]| - \d{1,5} - | p\. \d{1,5} [a-zà-ÿ]| [IVXLC]{1,6} [A-ZÀ-Ý]\w+ [^.,]{3,80} (?:1[89]|20)\d\d |, (?:1[89]|20)\d\d [\w(–-]")
 
 
 def line_features(lines: list[str], i: int) -> list[str]:
@@ -326,7 +357,8 @@ def _damage(text: str, rng: random.Random, titles: list[str]) -> tuple[str, list
             put(t[len(core) :])
         elif kind == "torn":
             core = t.rstrip(".,;:")
-            mark(core[:k] + " " + core[k:])
+            cuts = [0, *sorted(rng.sample(range(2, len(core) - 1), min(rng.randint(1, 3), len(core) - 3))), len(core)]
+            mark(" ".join(core[x:y] for x, y in zip(cuts, cuts[1:])))
             put(t[len(core) :])
         elif kind == "misread":
             options = [(g, b, t.lower().find(g)) for g, b in CONFUSIONS if g in t.lower()]
@@ -397,7 +429,7 @@ class Editor:
                 else:
                     kept.append(row)
             text = "\n".join(kept)
-        if any(c in text for c in (" | ", "[", " - ", "gina ", "Page", "   ", "p. ")) or _HEADED.search(text):
+        if _HINT.search(text):
             text, n = _INLINE.subn("", text)
             edits += n
         out, at = [], 0
