@@ -38,42 +38,54 @@ def split_sentences(text: str | None) -> list[str]:
     return [m.group() for m in _SENTENCE.finditer(text or "")]
 
 
-def tokens(sentence: str) -> list[str]:
-    """Folded words and numbers (decimal commas as points) of a sentence."""
-    if _SUSPECT.search(sentence):
-        sentence = mojibake.repair(sentence)[0]
-    sentence = re.sub(r"(?<=\w)(?:[-¬]\s*\n\s*|­\s*)(?=\w)", "", sentence)
-    sentence = re.sub(r"(?<!\w)([^\W\d_](?: [^\W\d_]){3,})(?!\w)", lambda m: m.group().replace(" ", ""), sentence)
-    flat = "".join(c for c in unicodedata.normalize("NFD", sentence.lower()) if not unicodedata.combining(c))
-    return [t.replace(",", ".") if t[0].isdigit() else t for t in _TOKEN.findall(flat)]
+_CUT = re.compile(r"(?<=\w)(?:[-¬]\s*\n\s*|\xad\s*)(?=\w)")
+_APART = re.compile(r"(?<!\w)([^\W\d_](?: [^\W\d_]){3,})(?!\w)")
+_MARKS = re.compile(r"[\u0300-\u036f]+")
+
+
+def _fold(text: str) -> str:
+    return text if text.isascii() else _MARKS.sub("", unicodedata.normalize("NFD", text))
+
+
+def sentence_tokens(text: str | None) -> list[list[str]]:
+    """Folded words and numbers (decimal commas as points) of every sentence as stored."""
+    text = text or ""
+    garbled = bool(_SUSPECT.search(text)) if not text.isascii() or "&" in text or "?" in text else False
+    cut = "\n" in text or "\xad" in text or "¬" in text
+    out = []
+    for s in split_sentences(text):
+        if garbled:
+            s = mojibake.repair(s)[0]
+        if cut:
+            s = _CUT.sub("", s)
+        s = _APART.sub(lambda m: m.group().replace(" ", ""), s)
+        out.append([t.replace(",", ".") if t[0].isdigit() else t for t in _TOKEN.findall(_fold(s.lower()))])
+    return out
+
+
+def same_article(english: str | None, left: list[list[str]]) -> bool:
+    """Whether numbers and names of the English text recur: otherwise it is another article's."""
+    anchors = _names(english or "")
+    mine = {t for s in left for t in s}
+    return not anchors or len(anchors & mine) >= 0.34 * len(anchors)
 
 
 def _names(text: str) -> set[str]:
-    flat = "".join(c for c in unicodedata.normalize("NFD", text) if not unicodedata.combining(c))
+    flat = _fold(text)
     return {m.group(1).lower() for m in re.finditer(r"(?<=[^\W_.!?]\s)([A-Z][a-z]{3,})", flat)} | {
         m.group().replace(",", ".") for m in re.finditer(r"\d+(?:[.,]\d+)*", flat)
     }
 
 
-def lexicon(pairs: DataFrame, left: str, right: str, share: float = SHARE) -> dict[str, dict[str, float]]:
-    """{word: {translation: weight}}, counted over every row of ``pairs``.
+def lexicon(texts: DataFrame, share: float = SHARE) -> dict[str, dict[str, float]]:
+    """{word: {translation: weight}} over every row of texts(a, b), arrays of sentences of tokens.
 
     The weight is how much likelier the right word is where the left word stands than
     elsewhere. At most KEEP translations of at most (mean words / share) words.
     """
-
-    def spread(frames):
-        for pdf in frames:
-            rows = []
-            for a, b in zip(pdf["a"], pdf["b"]):
-                for side, text in ((0, a), (1, b)):
-                    rows += [(side, t) for t in {t for s in split_sentences(text) for t in tokens(s)} if not t[0].isdigit()]
-            got = pd.DataFrame(rows, columns=["side", "word"])
-            yield got.groupby(["side", "word"]).size().rename("n").reset_index()
-
-    texts = pairs.select(F.col(left).alias("a"), F.col(right).alias("b"))
     total = texts.count()
-    words = texts.mapInPandas(spread, "side int, word string, n long").groupBy("side", "word").agg(F.sum("n").alias("n"))
+    sides = [texts.select(F.lit(k).alias("side"), F.explode(F.array_distinct(F.flatten(c))).alias("word")) for k, c in ((0, "a"), (1, "b"))]
+    words = sides[0].unionByName(sides[1]).where(~F.col("word").rlike("^[0-9]")).groupBy("side", "word").agg(F.count("*").alias("n"))
     floor = max(3, share * total)
     vocabulary = words.where(F.col("n") >= floor).orderBy("side", "word").collect()
     ids = [{r["word"]: i for i, r in enumerate(v for v in vocabulary if v["side"] == side)} for side in (0, 1)]
@@ -81,7 +93,7 @@ def lexicon(pairs: DataFrame, left: str, right: str, share: float = SHARE) -> di
     if not ids[0] or not ids[1]:
         return {}
     wide = len(ids[1])
-    known = pairs.sparkSession.sparkContext.broadcast(ids)
+    known = texts.sparkSession.sparkContext.broadcast(ids)
 
     def together(frames):
         x, y = known.value
@@ -89,15 +101,15 @@ def lexicon(pairs: DataFrame, left: str, right: str, share: float = SHARE) -> di
             for lo in range(0, len(pdf), 1000):
                 codes = []
                 for a, b in zip(pdf["a"][lo : lo + 1000], pdf["b"][lo : lo + 1000]):
-                    i = np.array(sorted({x[t] for s in split_sentences(a) for t in tokens(s) if t in x}), np.int64)
-                    j = np.array(sorted({y[t] for s in split_sentences(b) for t in tokens(s) if t in y}), np.int64)
+                    i = np.array(sorted({x[t] for s in a for t in s if t in x}), np.int64)
+                    j = np.array(sorted({y[t] for s in b for t in s if t in y}), np.int64)
                     codes.append((i[:, None] * wide + j[None, :]).reshape(-1))
                 u, n = np.unique(np.concatenate(codes), return_counts=True)
                 yield pd.DataFrame({"x": u // wide, "y": u % wide, "n": n})
 
     joint = texts.mapInPandas(together, "x long, y long, n long").groupBy("x", "y").agg(F.sum("n").alias("n"))
-    side = pairs.sparkSession.createDataFrame(pd.DataFrame({"x": np.arange(len(counts[0])), "nx": counts[0]}))
-    other = pairs.sparkSession.createDataFrame(pd.DataFrame({"y": np.arange(wide), "ny": counts[1]}))
+    side = texts.sparkSession.createDataFrame(pd.DataFrame({"x": np.arange(len(counts[0])), "nx": counts[0]}))
+    other = texts.sparkSession.createDataFrame(pd.DataFrame({"y": np.arange(wide), "ny": counts[1]}))
     gain = F.col("n") / F.col("nx") - F.col("ny") / F.lit(float(total))
     strong = joint.where("n >= 3").join(side, "x").join(other, "y").withColumn("gain", gain).where(F.col("gain") > LEAST_GAIN)
     rank = F.row_number().over(Window.partitionBy("x").orderBy(F.desc("gain"), "y"))
@@ -115,13 +127,20 @@ def _points(left: list[list[str]], right: list[list[str]], table: dict[str, dict
     where: dict[str, list[int]] = {}
     for j, t in enumerate(b):
         where.setdefault(t, []).append(j)
-    w = np.zeros((len(a), len(b)), np.float32)
-    for i, t in enumerate(a):
-        if t in where and (t[0].isdigit() or (t not in table and len(t) > 3)):
-            w[i, where[t]] = 1.5 if t[0].isdigit() else 1.0
-        for u, g in table.get(t, {}).items():
-            if u in where:
-                w[i, where[u]] = np.maximum(w[i, where[u]], g)
+    rows: dict[str, list[float]] = {}
+    for t in a:
+        if t in rows:
+            continue
+        row = rows[t] = [0.0] * len(b)
+        known = table.get(t)
+        if t in where and (t[0].isdigit() or (known is None and len(t) > 3)):
+            for j in where[t]:
+                row[j] = 1.5 if t[0].isdigit() else 1.0
+        if known:
+            for u in known.keys() & where.keys():
+                for j in where[u]:
+                    row[j] = max(row[j], known[u])
+    w = np.array([rows[t] for t in a], np.float32).reshape(len(a), len(b))
     return w
 
 
@@ -144,43 +163,49 @@ def _chain(w: np.ndarray) -> list[tuple[int, int]]:
 
 def align(original: str | None, english: str | None, table: dict[str, dict[str, float]], cover: float = COVER) -> list[tuple[int, int, float]]:
     """[(sentence number, English sentence number, cover)], numbers from 1."""
-    left = [tokens(s) for s in split_sentences(original)]
-    right = [tokens(s) for s in split_sentences(english)]
-    if not left or not right:
+    left, right = sentence_tokens(original), sentence_tokens(english)
+    return align_tokens(left, right, table, cover) if same_article(english, left) else []
+
+
+class Lexicon:
+    """Translations of a word, the most each can give, and the most each right word can."""
+
+    def __init__(self, table: dict[str, dict[str, float]]):
+        self.table = table
+        self.top = {t: max(row.values()) for t, row in table.items()}
+        self.back: dict[str, float] = {}
+        for row in table.values():
+            for u, g in row.items():
+                self.back[u] = min(1.0, max(self.back.get(u, 0.0), g))
+
+
+def align_tokens(left: list[list[str]], right: list[list[str]], lexicon: Lexicon | dict, cover: float = COVER) -> list[tuple[int, int, float]]:
+    if not any(left) or not any(right):
         return []
-    anchors = _names(english or "")
-    mine = {t for s in left for t in s}
-    if anchors and len(anchors & mine) < 0.34 * len(anchors):
-        return []  # another article's abstract: hardly a number or name recurs
+    lexicon = lexicon if isinstance(lexicon, Lexicon) else Lexicon(lexicon)
+    table = lexicon.table
     w = _points(left, right, table)
     a0 = np.cumsum([0, *map(len, left)])
     b0 = np.cumsum([0, *map(len, right)])
     a, b = [t for s in left for t in s], [t for s in right for t in s]
     # what a token can give at most; words that translate nothing count for nothing
-    top_a = np.array([1.5 if t[0].isdigit() else max(table[t].values()) if t in table else (0.6 if len(t) > 3 else 0.0) for t in a])
-    known = w.max(0) if len(a) else np.zeros(len(b))
-    back: dict[str, float] = {}
-    for row in table.values():
-        for u, g in row.items():
-            back[u] = max(back.get(u, 0.0), g)
-    top_b = np.array([1.5 if t[0].isdigit() else min(back[t], 1.0) if t in back else (0.6 if len(t) > 3 else 0.0) for t in b])
-    top_b = np.maximum(top_b, np.minimum(known, 1.5))
+    top_a = np.array([1.5 if t[0].isdigit() else lexicon.top.get(t, 0.6 if len(t) > 3 else 0.0) for t in a])
+    top_b = np.array([1.5 if t[0].isdigit() else lexicon.back.get(t, 0.6 if len(t) > 3 else 0.0) for t in b])
+    top_b = np.maximum(top_b, np.minimum(w.max(0), 1.5))
     free_a, free_b = np.ones(len(a), bool), np.ones(len(b), bool)
 
     def measure(p: int, q: int) -> tuple[float, list[tuple[int, int]]]:
         ra, rb = slice(a0[p], a0[p + 1]), slice(b0[q], b0[q + 1])
         part = w[ra, rb] * free_a[ra, None] * free_b[None, rb]
-        chain = _chain(part)
-        if not chain:
+        if not part.size:
             return 0.0, []
-        got = sum(part[x, y] for x, y in chain)
-        need_a, need_b = top_a[ra][free_a[ra]].sum(), top_b[rb][free_b[rb]].sum()
-        whole_a, whole_b = top_a[ra].sum(), top_b[rb].sum()
         # at least one side is covered; a remainder too small for a statement does not count
-        best = 0.0
-        for need, whole in ((need_a, whole_a), (need_b, whole_b)):
-            if need > 0.3 * whole and need > 1.0:
-                best = max(best, got / need)
+        sides = ((top_a[ra], free_a[ra]), (top_b[rb], free_b[rb]))
+        needs = [n for n, whole in (((t * f).sum(), t.sum()) for t, f in sides) if n > 0.3 * whole and n > 1.0]
+        if not needs or 1.1 * min(part.max(1).sum(), part.max(0).sum()) < cover * min(needs):
+            return 0.0, []
+        chain = _chain(part)
+        best = sum(part[x, y] for x, y in chain) / min(needs)
         numbers_a = {a[k] for k in range(a0[p], a0[p + 1]) if free_a[k] and a[k][0].isdigit()}
         numbers_b = {b[k] for k in range(b0[q], b0[q + 1]) if free_b[k] and b[k][0].isdigit()}
         if numbers_a and numbers_b and not numbers_a & numbers_b:
@@ -189,19 +214,43 @@ def align(original: str | None, english: str | None, table: dict[str, dict[str,
             best *= 1.1
         return best, chain
 
-    scores = {(p, q): measure(p, q) for p in range(len(left)) for q in range(len(right))}
-    out = []
+    # what the chain of each rectangle can cover at most, for all rectangles at once
+    full_a, full_b = [k for k, s in enumerate(left) if s], [k for k, s in enumerate(right) if s]
+    by_b = np.add.reduceat(np.maximum.reduceat(w, b0[full_b], axis=1), a0[full_a], axis=0)
+    by_a = np.add.reduceat(np.maximum.reduceat(w, a0[full_a], axis=0), b0[full_b], axis=1)
+    need_a, need_b = float(np.add.reduceat(top_a, a0[full_a]).min()), float(np.add.reduceat(top_b, b0[full_b]).min())
+    least = np.minimum.outer(np.add.reduceat(top_a, a0[full_a]), np.add.reduceat(top_b, b0[full_b]))
+    likely = np.argwhere(1.1 * np.minimum(by_a, by_b) >= cover * least).tolist()
+    scores = {(full_a[p], full_b[q]): m for p, q in likely if (m := measure(full_a[p], full_b[q]))[0] >= cover}
+    out: list[tuple[int, int, float]] = []
+    done: set[tuple[int, int]] = set()
     while scores:
         (p, q), (s, chain) = max(scores.items(), key=lambda kv: (kv[1][0], -kv[0][0], -kv[0][1]))
         if s < cover:
             break
         out.append((p + 1, q + 1, round(float(s), 4)))
+        done.add((p, q))
         for x, y in chain:
             free_a[a0[p] + x] = False
             free_b[b0[q] + y] = False
         del scores[(p, q)]
         for key in [k for k in scores if k[0] == p or k[1] == q]:
-            scores[key] = measure(*key)
+            if (again := measure(*key))[0] >= cover:
+                scores[key] = again
+            else:
+                del scores[key]
+        # a sentence with less left to cover may now be covered by another one
+        near = []
+        for whole, free, others, keys in (
+            (top_a[a0[p] : a0[p + 1]], free_a[a0[p] : a0[p + 1]], need_b, [(p, y) for y in range(len(right))]),
+            (top_b[b0[q] : b0[q + 1]], free_b[b0[q] : b0[q + 1]], need_a, [(x, q) for x in range(len(left))]),
+        ):
+            left_over = float((whole * free).sum())
+            if left_over > 0.3 * whole.sum() or 1.1 * left_over >= cover * max(1.0, 0.3 * others):
+                near += keys
+        for key in near:
+            if key not in done and key not in scores and (again := measure(*key))[0] >= cover:
+                scores[key] = again
     return sorted(out)
 
 
@@ -214,14 +263,27 @@ def align_table(df: DataFrame, key: str, left: str, right: str, cover: float = C
     """
     both = df.select(F.col(key).alias("key"), F.col(left).alias("a"), F.col(right).alias("b"))
     both = both.where(F.col("a").rlike(r"\w") & F.col("b").rlike(r"\w") & F.col("key").isNotNull()).dropDuplicates(["key"])
-    both = checkpoint(both.repartition(max(24, 3 * df.sparkSession.sparkContext.defaultParallelism), "key"))
-    table = df.sparkSession.sparkContext.broadcast(lexicon(both, "a", "b"))
     kind = df.schema[key].dataType.simpleString()
 
+    def prepare(frames):
+        for pdf in frames:
+            rows = []
+            for k, a, b in zip(pdf["key"], pdf["a"], pdf["b"]):
+                x = sentence_tokens(a)
+                rows.append((k, x, sentence_tokens(b), same_article(b, x)))
+            yield pd.DataFrame(rows, columns=["key", "a", "b", "same"])
+
+    spread = both.repartition(max(24, 3 * df.sparkSession.sparkContext.defaultParallelism), "key")
+    tokens = checkpoint(spread.mapInPandas(prepare, f"key {kind}, a array<array<string>>, b array<array<string>>, same boolean"))
+    table = df.sparkSession.sparkContext.broadcast(lexicon(tokens.select("a", "b")))
+
     def run(frames):
+        known = Lexicon(table.value)
         for pdf in frames:
-            rows = [(k, *m) for k, a, b in zip(pdf["key"], pdf["a"], pdf["b"]) for m in align(a, b, table.value, cover)]
+            rows = []
+            for k, a, b in zip(pdf["key"], pdf["a"], pdf["b"]):
+                rows += [(k, *m) for m in align_tokens([list(s) for s in a], [list(s) for s in b], known, cover)]
             yield pd.DataFrame(rows, columns=["key", "orig_no", "en_no", "cover"])
 
-    out = both.mapInPandas(run, f"key {kind}, orig_no int, en_no int, cover double")
+    out = tokens.where("same").select("key", "a", "b").mapInPandas(run, f"key {kind}, orig_no int, en_no int, cover double")
     return out.withColumnRenamed("key", key)
