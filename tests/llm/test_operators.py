@@ -4,7 +4,6 @@ import itertools
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from biblioflow.llm import _graph, _text, bitext, chunks, language, leaks, mojibake, names, neardup, scans, tokens
 

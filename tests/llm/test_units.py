@@ -218,3 +218,10 @@ def test_scan_repair(bad, good):
 @pytest.mark.parametrize("text", [None, "", "os alunos usaram\na leitura digital nas escolas.", "nomes Brapajetal, R. e Doxarim, A. usaram", "os alumnos usarm a leitra digitl"])
 def test_scan_repair_leaves_the_rest(text):
     assert EDITOR.repair(text)[1] == 0
+
+
+def test_mistyped_suffix():
+    given = frozenset({"vinicius"})
+    a = names.readings("Vinícius", None, "Dinel leto", given)
+    assert names.same_person(a, names.readings("V.", "", "Dinel Neto", given))
+    assert not names.same_person(a, names.readings("V.", "", "Dinel Filho", given))
