@@ -49,8 +49,20 @@ class Http:
             return json.loads(answer.read()).get("text") or ""
 
 
+def factory(settings: dict, environment: dict | None = None) -> Callable[[], Provider]:
+    """What makes a provider in a task: the configured endpoint, or the offline one without an address.
+
+    The key comes from the environment variable that ``key_variable`` names.
+    """
+    url = settings.get("completion_url")
+    if not url:
+        return Offline
+    key = (environment or {}).get(settings.get("key_variable", "COMPLETION_KEY"), "")
+    return lambda: Http(url, key, settings.get("engine", ""), settings.get("most_tokens", 4000))
+
+
 def options(model: str) -> dict:
-    """Temperature 0 for models that take one."""
+    """Temperature 0 for models that take one; the name parts are fixed values."""
     return {} if any(s in model for s in ("gpt-5", "o1", "o3", "o4")) else {"temperature": 0}
 
 

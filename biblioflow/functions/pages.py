@@ -44,6 +44,13 @@ def last_pages(pages: Column) -> Column:
     return F.when(n < 1, "").when((n < 2) | _any(last, REFERENCES), last).otherwise(F.concat_ws(" ", third, second, last))
 
 
+def extract(pages: Column, location: str) -> Column:
+    """The first or last pages; another location is an error."""
+    if location not in ("first", "last"):
+        raise ValueError(f"invalid page location: {location}")
+    return first_pages(pages) if location == "first" else last_pages(pages)
+
+
 def page_range(first: Column, n: Column) -> Column:
     """'first-last' of n pages; a single page or a first page that is no number stays as it is."""
     bare = strip(F.coalesce(first, F.lit("")))

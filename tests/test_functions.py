@@ -101,3 +101,9 @@ def test_json_part(spark):
     rows = [('x [{"a":1},{"a":2}] y',), ("```json\n{\"a\": 1}\n```",), ("no",), (None,)]
     got = [r[0] for r in values(spark, rows, "t string", people.json_part(F.col("t")))]
     assert got == ['[{"a":1},{"a":2}]', '{"a": 1}', None, None]
+
+
+def test_page_location(spark):
+    assert values(spark, [(["a", "b"],)], "p array<string>", pages.extract(F.col("p"), "first"), pages.extract(F.col("p"), "last")) == [("a, b", " a b")]
+    with pytest.raises(ValueError):
+        pages.extract(F.col("p"), "middle")

@@ -138,3 +138,10 @@ def test_whole_run(spark, tmp_path):
         assert len(cells) > 1
     refs = [r for p in sorted(Path(tmp_path, "Referencias.csv").glob("part-*.csv")) for r in csv.reader(open(p, newline="", encoding="utf-8"), delimiter=";") if r[0] != "article"]
     assert sorted((r[0], r[1], r[-1]) for r in refs) == [("1", "d1", "1"), ("1", "d2", "2"), ("2", "d1", "1"), ("2", "d2", "2")]
+
+
+def test_provider_factory():
+    assert isinstance(completion.factory({})(), completion.Offline)
+    made = completion.factory({"completion_url": "http://h", "engine": "m"}, {"COMPLETION_KEY": "k"})()
+    assert (made.url, made.key, made.model, made.most_tokens) == ("http://h", "k", "m", 4000)
+    assert completion.options("o3-mini") == {} and completion.options("m") == {"temperature": 0}
