@@ -67,7 +67,8 @@ def known_words(df: DataFrame, columns: list[str], share: float = SHARE) -> dict
             if len(held) > 1_000_000:
                 yield pd.DataFrame({"word": list(held), "n": list(held.values())})
                 held = Counter()
-        yield pd.DataFrame({"word": list(held), "n": list(held.values())})
+        if held:
+            yield pd.DataFrame({"word": list(held), "n": list(held.values())})
 
     floor = max(8.0, share * len(columns) * df.count())
     counts = df.select(*columns).mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -447,10 +448,13 @@ class Editor:
 
 
 def train(df: DataFrame, column: str, words: dict[str, int], titles: list[str], sample: int = SAMPLE) -> Editor:
-    """Fit on at most ``sample`` texts without any mark, the least hashes of the text first."""
+    """Fit on at most ``sample`` different texts without any mark, the least hashes first."""
     marks = "[\\n\\f\\u00ad¬\\ufffd@ÃÂ]|- |\\d[a-z]|[a-z]\\d"
-    clean = df.where((F.length(column) > 60) & ~F.col(column).rlike(marks)).select(column, F.xxhash64(column).alias("h"))
-    rows = clean.orderBy("h", column).limit(sample).collect()
+    clean = df.where((F.length(column) > 60) & ~F.col(column).rlike(marks)).select(F.col(column).alias("t"), F.xxhash64(column).alias("h"))
+    # the least hashes lie in a narrow range, so a task hands over few rows however many tasks there are
+    share = min(1.0, 12 * sample / max(1, df.count()))
+    near = clean.where(F.col("h") <= F.lit(int(-(2**63) + share * (2**64 - 1)))) if share < 0.5 else clean
+    rows = near.groupBy("h").agg(F.min("t").alias("t")).orderBy("h").limit(sample).select("t").collect()
     known = Words(words)
     texts = [unicodedata.normalize("NFC", r[0]) for r in rows]
     return Editor(known).fit(texts, titles or ["Annals of Study"])
