@@ -22,7 +22,8 @@ from biblioflow.llm.tokens import TOKENIZERS, encoder, safe_pieces
 LIMIT = 2048
 OVERLAP = 128
 _LINE = "\n\r\x0b\x0c\x85\u2028\u2029"
-_BREAK = re.compile(rf"(?:\r\n|[{_LINE}])\s*|(?<=[.!?])[\"”»')\]]*\s+|(?<=[;:,])\s+|\s+")
+_STRONG = re.compile(rf"(?:\r\n|[{_LINE}])\s*|(?<=[.!?])[\"”»')\]]*\s+")
+_WEAK = re.compile(r"(?<=[;:,])\s+|\s+")
 
 
 def count_tokens(text: str, enc, limit: int | None = None) -> int:
@@ -31,7 +32,7 @@ def count_tokens(text: str, enc, limit: int | None = None) -> int:
         return sum(len(enc.encode_ordinary(p)) for p in safe_pieces(text))
     n = 0
     left = len(text.encode("utf-8", "replace"))
-    for piece in safe_pieces(text, 1200):
+    for piece in safe_pieces(text, 320):
         n += len(enc.encode_ordinary(piece))
         left -= len(piece.encode("utf-8", "replace"))
         if n + left <= limit:
@@ -42,6 +43,8 @@ def count_tokens(text: str, enc, limit: int | None = None) -> int:
 
 
 def _strength(gap: str, before: str) -> int:
+    if gap == " ":
+        return 3 if before in ".!?" else 2 if before in ";:," else 1
     breaks = sum(gap.replace("\r\n", "\n").count(c) for c in _LINE)
     if breaks >= 2 or "\x0c" in gap:
         return 5
@@ -54,41 +57,44 @@ def _strength(gap: str, before: str) -> int:
     return 1 if gap else 0
 
 
-def _atoms(text: str, enc, limit: int) -> tuple[list[int], list[int], list[int]]:
-    """Starts, token sizes and strengths of the boundary before each atom."""
-    starts, force = [0], [9]
-    for m in _BREAK.finditer(text):
-        s = _strength(m.group(), text[m.start() - 1] if m.start() else " ")
-        at = m.end()
+def _cuts(text: str, lo: int, hi: int, boundary: re.Pattern) -> list[tuple[int, int]]:
+    """(start, strength) of the segments that begin inside lo..hi after a boundary."""
+    out = []
+    last = lo
+    for m in boundary.finditer(text, lo, hi):
+        gap, at = m.group(), m.end()
+        s = _strength(gap, text[m.start() - 1] if m.start() else " ")
         # a single blank belongs to the word after it for the tokenizer
-        if at and text[at - 1] == " " and s < 4:
+        if gap[-1:] == " " and s < 4:
             at -= 1
-        if at > starts[-1] and at < len(text):
-            starts.append(at)
-            force.append(s)
-    pieces = [text[a:b] for a, b in zip(starts, [*starts[1:], len(text)])]
-    sizes = [len(enc.encode_ordinary(p)) for p in pieces]
-    out_s, out_n, out_f = [], [], []
-    for a, p, n, f in zip(starts, pieces, sizes, force):
-        if n <= limit:
-            out_s.append(a)
-            out_n.append(n)
-            out_f.append(f)
+        if last < at < hi:
+            out.append((at, s))
+            last = at
+    return out
+
+
+def _atoms(text: str, enc, limit: int) -> tuple[list[int], list[int], list[int]]:
+    """Starts, token sizes and strengths of the boundary before each atom.
+
+    Atoms are sentences and lines; one that is larger than the limit is cut at
+    clauses and words, and an unbroken run that still is by halves.
+    """
+    found: list[tuple[int, int, int]] = []
+    todo = [(0, len(text), 9, 0)]
+    while todo:
+        a, b, f, level = todo.pop()
+        n = len(enc.encode_ordinary(text[a:b])) if level else limit + 1
+        if n <= limit or b - a == 1:
+            found.append((a, n, f))
             continue
-        # one unbroken run larger than the limit: cut by characters, halving until it fits
-        stack = [(a, p, f)]
-        while stack:
-            b, q, g = stack.pop()
-            k = len(enc.encode_ordinary(q))
-            if k <= limit or len(q) == 1:
-                out_s.append(b)
-                out_n.append(k)
-                out_f.append(g)
-            else:
-                h = len(q) // 2
-                stack.append((b + h, q[h:], 0))
-                stack.append((b, q[:h], g))
-    return out_s, out_n, out_f
+        if level < 2:
+            cuts = _cuts(text, a, b, (_STRONG, _WEAK)[level])
+        else:
+            cuts = [((a + b) // 2, 0)]
+        starts = [(a, f), *cuts]
+        todo += [(x, y, g, level + 1) for (x, g), y in zip(starts, [*(c for c, _ in cuts), b])]
+    found.sort()
+    return [x[0] for x in found], [x[1] for x in found], [x[2] for x in found]
 
 
 def split_text(text: str | None, enc, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int, int, int, int]]:
@@ -98,9 +104,8 @@ def split_text(text: str | None, enc, limit: int = LIMIT, overlap: int = OVERLAP
     """
     if not text:
         return []
-    total = count_tokens(text, enc)
-    if total <= limit:
-        return [(0, 0, len(text), total)]
+    if count_tokens(text, enc, limit) <= limit:
+        return [(0, 0, len(text), count_tokens(text, enc))]
     room = limit - overlap
     starts, sizes, force = _atoms(text, enc, room)
     n = len(starts)
