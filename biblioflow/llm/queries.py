@@ -8,7 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from biblioflow.llm import bitext, chunks, language, leaks, mojibake, names, neardup, scans, tokens
-from biblioflow.session import table
+from biblioflow.session import spread
+from biblioflow.session import table as read
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    return spread(read(spark, sf_dir, name, *columns))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,7 +36,7 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     authors = table(spark, sf_dir, "authors")
-    institutions = table(spark, sf_dir, "institutions")
+    institutions = read(spark, sf_dir, "institutions")
     persons, organisations = names.link(authors, institutions)
     a, b = persons.alias("a"), persons.alias("b")
     same = (F.col("a.person") == F.col("b.person")) & (F.col("a.author_id") < F.col("b.author_id"))
@@ -96,7 +101,7 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    items = table(spark, sf_dir, "eval_items", "item_id", "text")
+    items = read(spark, sf_dir, "eval_items", "item_id", "text")
     return leaks.leaked(docs, "doc_id", "text", items, "item_id", "text").select("item_id", "doc_id")
 
 
