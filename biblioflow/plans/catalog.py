@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from biblioflow.functions import ids, pages, people, sections, text
 from biblioflow.operators import multivalue
 from biblioflow.operators import tables as T
-from biblioflow.session import table
+from biblioflow.session import spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -35,7 +35,7 @@ def query(sql: str | None = None):
 
 @query()
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    articles = table(spark, sf_dir, "articles", "seq", "keywords_orig", "keywords_en")
+    articles = spread(table(spark, sf_dir, "articles", "seq", "keywords_orig", "keywords_en"))
     got = multivalue.split_values(articles, "seq", ["keywords_orig", "keywords_en"])
     return got.select("seq", "field", "pos", F.col("value").alias("keyword_text"))
 

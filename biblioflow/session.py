@@ -35,6 +35,15 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where a scan has fewer splits than cores (one small file, say).
+
+    Larger inputs have more splits than that and are left as they are, unshuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def latest(df: DataFrame, key: str, columns: list[str], order: str) -> DataFrame:
     """One row per key: the one delivered last (ties: the greatest row).
 
