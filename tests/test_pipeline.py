@@ -81,7 +81,7 @@ def test_affiliation_answers(spark, answer):
 
 
 def test_csv_format(spark, tmp_path):
-    df = spark.createDataFrame([('a"b;c', "", None)], "x string, y string, z string")
+    df = spark.createDataFrame([('a"b;c', "", None)], "x string, y string, z string").coalesce(1)
     sinks.write_csv(df, str(tmp_path / "t"))
     body = next((tmp_path / "t").glob("part-*.csv")).read_bytes().decode()
     assert body.endswith('"a""b;c";"";""\r\n')
