@@ -191,6 +191,15 @@ def test_alignment_tolerates_order_merges_and_omissions():
     assert bitext.align(None, "x", table) == [] and bitext.align("x", "", table) == []
 
 
+def test_added_sentences_do_not_unmake_a_translation():
+    table = {"gato": {"cat": 0.9}, "dorme": {"sleeps": 0.9}, "casa": {"house": 0.9}, "vermelha": {"red": 0.9}, "chuva": {"rain": 0.9}, "forte": {"heavy": 0.9}}
+    added = " Costs of 41, 42 and 43 coins in Zemar and Gugar stayed below 1999."
+    assert [m[:2] for m in bitext.align("O gato dorme 12 horas. Chuva forte.", "The cat sleeps 12 hours." + added, table)] == [(1, 1)]
+    assert [m[:2] for m in bitext.align("A casa vermelha. Chuva forte.", "Heavy rain." + added, table)] == [(2, 1)]
+    assert [m[:2] for m in bitext.align("A casa vermelha. Chuva forte.", "Heavy rain, and 51 people of Zemar came in 1996." + added, table)] == [(2, 1)]
+    assert bitext.align("O gato vermelho dorme 12 horas em Tobal.", "The cat of Gugar sleeps 77 hours with Zemar." + added, table) == []
+
+
 def _editor():
     words = "os alunos usaram uma ferramenta para apoiar a leitura digital nas escolas e os professores destacaram o principal benefício da motivação durante semanas de trabalho".split()
     clean = [" ".join(random.Random(i).sample(words, 16)) + "." for i in range(250)]
