@@ -2,7 +2,7 @@
 
 Words are hashed into a universe of 2**16 places. A first permutation shuffles
 the places; coordinate k of the signature is the least value that a second
-permutation, shifted circularly by k, gives any word of the record. Five
+permutation, shifted circularly by k, gives any word of the record. Four
 coordinates make a band; records that agree in a band are candidates, and the
 exact Jaccard similarity of their word sets decides.
 
@@ -10,6 +10,9 @@ Words found in more than COMMON of all records say little about the work cited,
 so signatures leave them out (the exact check does not); a record with fewer than
 FEW other words is also banded on all its words. What counts as common comes from
 exact counts over all records; their number is at most (mean words) / COMMON.
+
+Two records whose other words are alike by s become candidates with probability
+1 - (1 - s**ROWS)**BANDS: 0.991 at the threshold, 0.79 at 0.5.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from biblioflow.session import checkpoint
 THRESHOLD = 0.65
 COMMON = 0.005
 FEW = 6
-ROWS = 5
+ROWS = 4
 BANDS = 24
 FULL = 64
 UNIVERSE = 1 << 16
@@ -283,7 +286,7 @@ def _bucket_pairs(banded: DataFrame) -> DataFrame:
             pairs(keys, ids, np.zeros(1, np.int64), np.array([len(keys)]), out)
             yield emit(out)
 
-    found = banded.repartition("key").sortWithinPartitions("kind", "key", "node").mapInArrow(run, "a bigint, b bigint, kind tinyint")
+    found = banded.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "a bigint, b bigint, kind tinyint")
     return found.where((F.col("kind") == HOT) | (F.col("a") < F.col("b"))).distinct()
 
 

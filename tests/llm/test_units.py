@@ -94,6 +94,17 @@ def test_circulant_signatures_estimate_similarity():
         assert abs(np.mean(keys[:, 0] == keys[:, 1]) - true) < 0.1
 
 
+def test_bands_find_records_at_the_threshold():
+    rng = random.Random(5)
+    texts = []
+    for _ in range(1000):
+        words = [f"t{rng.random()}" for _ in range(40)]
+        texts += [" ".join(words[:33]), " ".join(words[7:])]  # 26 of 40 in common
+    h, doc = neardup._distinct_words(texts)
+    _, keys = neardup.signature_bands(h, doc)
+    assert (keys[:, ::2] == keys[:, 1::2]).any(0).mean() > 0.98
+
+
 GARBLED = [
     ("educação física", "utf-8", "cp1252"), ("educação física à tarde", "utf-8", "latin-1"), ("avaliação", "utf-8", "mac_roman"), ("sobre a educação", "utf-8", "cp850"),
     ("análise de conteúdo", "cp1252", "cp850"), ("precisão das previsões", "cp1252", "cp1251"),
