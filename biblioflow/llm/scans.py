@@ -2,7 +2,9 @@
 
 An averaged perceptron edits characters: at every doubtful place it predicts keep,
 delete, replace, insert or line-join. A second one, fed with where a line stands on
-the page and what it looks like, predicts which lines are page furniture. Both are
+the page and what it looks like, predicts which lines are page furniture; a third
+one, fed with the form and the surroundings of proposed spans, does so for furniture
+inside a line. All are
 trained on clean texts of the table itself that are damaged on purpose, so no
 labels are needed; the clean sample is bounded by SAMPLE.
 
@@ -29,6 +31,9 @@ from pyspark.sql import functions as F
 SAMPLE = 1500
 SHARE = 1 / 4000
 ROUNDS = 5
+#: Headers are far rarer in the table than among the copies made for training, so what a text has of its own
+#: weighs more, unless it names a title that recurs and thus may be a header of the table.
+OWN = 10
 # Characters as printed and as scanners misread them.
 CONFUSIONS = (
     ("o", "0"), ("l", "1"), ("i", "1"), ("s", "5"), ("a", "@"), ("e", "c"), ("i", "í"), ("ã", "ä"), ("õ", "ö"), ("m", "rn"), ("u", "ii"),
@@ -238,16 +243,105 @@ def places(text: str, words: Words) -> list[tuple[int, int, str, str, list[str]]
 
 _PAGE = re.compile(r"^\W*(?:p[áa]g(?:ina|\.)?|page|p\.)?\s*\W*\d{1,5}\W*(?:\|\W*\d{1,5}\W*)?$", re.I)
 _TITLE = r"[A-ZÀ-Ý][\w'’]+(?:(?: (?:d[aeo]s?|de|del|of|the|on|e|y|in|em|la|las|los|sobre|na|no|para|and|et|des|du))* [A-ZÀ-Ý][\w'’]+)+"
-_INLINE = re.compile(
-    rf"(?:[A-ZÀ-Ý][\w'’]+ (?:e|and|y|et|&) )?[A-ZÀ-Ý][\w'’]+ \| {_TITLE}"
-    rf"|\b\d{{1,5}} {{3,}}[A-ZÀ-Ý]{{2,}}(?: [A-ZÀ-Ý]+)+(?![\w'’])|{_TITLE}\s*[–—-]\s*\d{{4}} {{3,}}\d{{1,5}}\b"
-    rf"|(?<=[\wà-ÿ,;:] )[IVXLC]{{1,6}} {_TITLE} (?:1[89]|20)\d\d(?= [^\W\d_]| [(–-])|(?<=[\wà-ÿ,;:] ){_TITLE}, (?:1[89]|20)\d\d(?= [^\W\d_]| [(–-])"
-    r"|(?<=[\wà-ÿ,;] )(?:P[áa]gina|Page) \d{1,5}(?= [^\W\d_])|(?<=[a-zà-ÿ] )\[\d{1,5}\](?= [a-zà-ÿ])|(?<=[a-zà-ÿ] )- \d{1,5} -(?= [^\W\d_])"
-    r"|(?<=[a-zà-ÿ] )\d{1,5} \| \d{1,5}(?= [^\W\d_])|(?<=[a-zà-ÿ] )p\. \d{1,5}(?= [a-zà-ÿ])"
+# one roman letter after or before a name is rather an initial, unless a year closes the span
+_NUMBER = r"(?:\d{1,5}|[IVXLC]{2,6}(?![\w'’.]))"
+_BETWEEN = r"(?:,? +| *[|–—·•/-] *)"
+_NAME = r"[A-ZÀ-Ý][\w'’]+"
+_HEAD = rf"(?:[A-ZÀ-Ý]{{2,}}(?: [A-ZÀ-Ý]+)+(?![\w'’])|{_TITLE})"
+#: What may be furniture inside a line: page numbers in any dress, and title-like runs with a number or a bar.
+_PROPOSED = re.compile(
+    rf"(?<!\S)(?:\[\d{{1,5}}\]|[–—-] ?\d{{1,5}} ?[–—-]|\d{{1,5}} ?[|/] ?\d{{1,5}}|(?:[Pp][áa]g(?:ina|\.)?|[Pp]age|[Ss]eite|pp?\.) ?\d{{1,5}}"
+    rf"|(?:{_HEAD}|(?:{_NAME} (?:e|and|y|et|&) )?{_NAME}) [|·•/] (?:{_HEAD}|{_NAME})(?:{_BETWEEN}{_NUMBER}){{0,2}}"
+    rf"|[IVXLC]{{1,6}} {_HEAD},? (?:1[89]|20)\d\d|{_NUMBER}(?: +| *[|–—·•/-] *){_HEAD}(?:{_BETWEEN}{_NUMBER}){{0,2}}|{_HEAD}(?:{_BETWEEN}{_NUMBER}){{1,2}}"
+    r")(?![^\s.,;:])"
 )
+_ATOM = re.compile(r"(?:1[89]|20)\d\d(?!\d)|\d+|[IVXLC]{1,6}(?![\w'’])|[^\W\d_][\w'’]*\.?|\s{3,}|[^\w\s]")
+
+
+def _side(c: str) -> str:
+    return "none" if not c else "lower" if c.islower() else "upper" if c.isupper() else "digit" if c.isdigit() else c
+
+
+def _variants(text: str, a: int, b: int, titles: frozenset[str]) -> list[tuple[int, int]]:
+    """A span, and what is left of it without the words and numbers of the text that it may have taken up."""
+    out = {(a, b)}
+    if m := re.search(r"(?<=\w) \d{1,5}$", text[a:b]):
+        out.add((a, a + m.start()))
+    low = text[a:b].lower()
+    for t in titles:
+        at = low.find(t)
+        if at >= 0:
+            out.add((a, a + at + len(t)))
+            lead = re.search(r"[IVXLC]{1,6} $", text[a : a + at])
+            start = a + (lead.start() if lead else at)
+            out |= {(start, stop) for _, stop in list(out) if stop > start}
+    # a title alone is no furniture
+    return sorted(x for x in out if x == (a, b) or re.search(r"\d|[|·•]", text[x[0] : x[1]]))
+
+
+def inline_proposals(text: str, titles: frozenset[str]) -> list[tuple[int, int, tuple]]:
+    """[(start, stop, what the span and its surroundings look like)] of what may be furniture inside a line."""
+    found = []
+    for a, b in (x for m in _PROPOSED.finditer(text) for x in _variants(text, *m.span(), titles)):
+        form, words = [], []
+        for t in _ATOM.findall(text[a:b]):
+            if t[0].isdigit():
+                kind = "Y" if len(t) == 4 and t[:2] in ("18", "19", "20") else "N"
+            elif t.isspace():
+                kind = "W"
+            elif t[0].isalpha():
+                kind = "v" if re.fullmatch(r"(?i)v|vol|n|no|num|p|ed", t) else "P" if re.fullmatch(r"(?i)p[áa]g(?:ina|\.)?|page|seite|pp?\.", t) else "R" if re.fullmatch(r"[IVXLC]{1,6}", t) else "U" if len(t) > 1 and t.isupper() else "T"
+                words += [t.lower()] if kind in "UT" else []
+            else:
+                kind = t
+            if not (form and form[-1] == kind and kind in "UT"):
+                form.append(kind)
+        before, after = text[max(0, a - 40) : a].rstrip(), text[b : b + 40].lstrip(" .,")
+        tight = text[b : b + 1].strip() != ""
+        found.append((a, b, ("".join(form), _side(before[-1:]), ("ed" if after.startswith("ed.") else _side(after[:1])) + "!" * tight, " ".join(words) in titles, min(len(words), 6))))
+    return found
+
+
+def inline_features(key: tuple) -> list[str]:
+    form, before, after, known, long = key
+    loose = "".join(sorted(set(form)))
+    sides = f"{before} {after}"
+    flow = f"{before in ('lower', ',', 'digit')} {after in ('lower', 'digit', '(')}"
+    return [
+        f"form {form}", f"before {before}", f"after {after}", f"sides {sides}", f"form {form} sides {sides}", f"loose {loose} sides {sides}", f"form {form} before {before}",
+        f"form {form} after {after}", f"known {known} sides {sides}", f"known {known} flow {flow}", f"volume {'v' in form or after[:2] == 'ed'}", f"flow {flow}", f"form {form} flow {flow}", f"loose {loose} known {known} flow {flow}", f"loose {loose} long {long}", f"numbers {sum(c in 'YNR' for c in form)} sides {sides}",
+    ]
 
 
-_HINT = re.compile(r" \| |   |gina \d|Page \d| \[\d{1,5}\] [a-zà-ÿ]| - \d{1,5} - | p\. \d{1,5} [a-zà-ÿ]| [IVXLC]{1,6} [A-ZÀ-Ý]\w+ [^.,]{3,80} (?:1[89]|20)\d\d |, (?:1[89]|20)\d\d [\w(–-]")
+def _header(rng: random.Random, title: str, text: str) -> str:
+    """A running header or page number: a title that recurs or is made up, a number or a bar, in any order."""
+    if rng.random() < 0.5:
+        words = [w for w in re.findall(r"[^\W\d_]{4,}", text)] or ["Study"]
+        title = " ".join(w.capitalize() for w in rng.choices(words, k=rng.randint(2, 5)))
+        if rng.random() < 0.5:
+            title = title.replace(" ", rng.choice([" de ", " of ", " e "]), 1)
+    n, year = rng.randint(1, 1400), 1980 + rng.randint(0, 44)
+    if rng.random() < 0.2:
+        title = title.upper()
+    gap = rng.choice([" ", ", ", " – ", "    ", " | ", " · ", " - "])
+    return rng.choice([
+        f"[{n}]", f"- {n} -", f"{n} | {n + 1}", f"p. {n}", f"Página {n}", f"Page {n}", f"{title}{gap}{n}", f"{title}{gap}{year}", f"{title}, {year}", f"{n}{gap}{title}", f"{n}    {title.upper()}", f"{title} – {year}    {n}", f"{rng.choice(['V', 'XI', 'XXII'])} {title} {year}",
+        f"{rng.choice(['IV', 'VII', 'XIX'])} {title} {year}", f"{title}{gap}{year}    {n}", f"{title.split()[0]} e {title.split()[-1]} | {title}", f"{title.split()[-1]} | {title}",
+    ])
+
+
+def _inline_examples(text: str, rng: random.Random, titles: list[str], known: frozenset[str]) -> list[tuple[list[str], str, tuple[str, ...]]]:
+    """Proposals of a text as stored, and of copies with one header put between two words of a line."""
+    kinds = ("text", "furniture")
+    own = [(inline_features(k), "text", kinds) for _, _, k in inline_proposals(text, known) for _ in range(1 if k[3] else OWN)]
+    gaps = [m.start() + 1 for m in re.finditer(r"(?<=\S) (?=\S)", text)]
+    out = own
+    for _ in range(1 if gaps else 0):
+        at, new = rng.choice(gaps), _header(rng, rng.choice(titles), text)
+        damaged = text[:at] + new + " " + text[at:]
+        # a span that takes more than the header, or only a part of it, is no example of either kind
+        out += [(inline_features(k), "furniture", kinds) for a, b, k in inline_proposals(damaged, known) if (a, b) == (at, at + len(new))]
+    return out
 
 
 def line_features(lines: list[str], i: int) -> list[str]:
@@ -399,8 +493,12 @@ class Editor:
         self.words = words
         self.chars = Perceptron(OPS)
         self.lines = Perceptron(("text", "furniture"))
+        self.inline = Perceptron(("text", "furniture"))
+        self.titles: frozenset[str] = frozenset()
+        self.judged: dict[tuple, float] = {}
 
-    def fit(self, clean: list[str], titles: list[str], seed: int = 6) -> Editor:
+    def fit(self, clean: list[str], titles: list[str], seed: int = 6, stored: list[str] | None = None) -> Editor:
+        """Train on ``clean`` texts; ``stored`` ones, clean or not, show what surrounds page furniture in general."""
         rng = random.Random(seed)
         data, lines = [], []
         for text in clean:
@@ -414,8 +512,21 @@ class Editor:
                     lines += [(line_features(rows, i), "furniture" if i in furniture else "text", ("text", "furniture")) for i in range(len(rows))]
         self.chars.train(data)
         self.lines.train(lines)
+        self.titles = frozenset(t.lower() for t in titles)
+        rng = random.Random(seed + 1)
+        self.inline.train([x for text in stored or clean for x in _inline_examples(text, rng, titles, self.titles)])
         return self
 
+    def _furniture(self, key: tuple) -> float:
+        """How much more a proposal looks like furniture than like text."""
+        got = self.judged.get(key)
+        if got is None:
+            text, furniture = self.inline.scores(inline_features(key)).tolist()
+            got = furniture - text
+            if len(self.judged) < 500_000:
+                self.judged[key] = got
+        return got
+
     def repair(self, text: str | None) -> tuple[str | None, int]:
         """(continuous text, number of edits other than joined lines)."""
         if not text:
@@ -430,9 +541,15 @@ class Editor:
                 else:
                     kept.append(row)
             text = "\n".join(kept)
-        if _HINT.search(text):
-            text, n = _INLINE.subn("", text)
-            edits += n
+        spans: list[tuple[int, int]] = []
+        ranked = [(score, a, b) for a, b, key in inline_proposals(text, self.titles) if (score := self._furniture(key)) > 0]
+        for _, a, b in sorted(ranked, key=lambda x: (-x[0], x[1] - x[2], x[1])):
+            if all(b <= x or y <= a for x, y in spans):
+                spans.append((a, b))
+        spans.sort()
+        for a, b in reversed(spans):
+            edits += 1
+            text = text[:a].rstrip(" ") + text[b:] if text[:a].strip() else text[b:].lstrip(" ")
         out, at = [], 0
         for a, b, edit, new, f in places(text, self.words):
             if a < at or self.chars.predict(f, ("keep", edit)) == "keep":
@@ -457,7 +574,11 @@ def train(df: DataFrame, column: str, words: dict[str, int], titles: list[str],
     rows = near.groupBy("h").agg(F.min("t").alias("t")).orderBy("h").limit(sample).select("t").collect()
     known = Words(words)
     texts = [unicodedata.normalize("NFC", r[0]) for r in rows]
-    return Editor(known).fit(texts, titles or ["Annals of Study"])
+    # furniture is rare, so texts as they are stored serve as examples of what is none
+    every = df.where(F.length(column) > 60).select(F.col(column).alias("t"), F.xxhash64(column).alias("h"))
+    every = every.where(F.col("h") <= F.lit(int(-(2**63) + share * (2**64 - 1)))) if share < 0.5 else every
+    stored = every.groupBy("h").agg(F.min("t").alias("t")).orderBy("h").limit(8 * sample).select("t").collect()
+    return Editor(known).fit(texts, titles or ["Annals of Study"], stored=[unicodedata.normalize("NFC", r[0]) for r in stored])
 
 
 def frequent_titles(df: DataFrame, column: str, most: int = 40) -> list[str]:

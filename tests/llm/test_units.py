@@ -240,6 +240,23 @@ def test_scan_repair_leaves_the_rest(text):
     assert EDITOR.repair(text)[1] == 0
 
 
+@pytest.mark.parametrize("header", ["Revista de Leitura Digital · 1987", "Page 31", "Motivação de Professores / Trabalho, 2003", "1203 – Encontro de Leituras Digitais"])
+def test_furniture_of_any_form_inside_a_line(header):
+    got, n = EDITOR.repair(f"os alunos usaram a leitura {header} digital nas escolas")
+    assert got == "os alunos usaram a leitura digital nas escolas" and n == 1
+
+
+def test_number_in_brackets_next_to_a_digit():
+    assert EDITOR.repair("os alunos usaram [586] 12 escolas")[0] == "os alunos usaram 12 escolas"
+
+
+def test_furniture_inside_a_line_is_decided_by_the_perceptron():
+    refs = [f"Silva, A. Leitura digital nas escolas. {t}, {y}. p. {y - 1900}." for t in ("Revista de Leitura Digital", "Anais do Encontro") for y in range(1980, 2020)]
+    editor = scans.Editor(EDITOR.words).fit(refs, ["Anais do Encontro de Tecnologias"])
+    assert editor.repair("Souza, B. Leitura nas escolas. Revista de Leitura Digital, 1999. p. 77.")[1] == 0
+    assert editor.repair("Silva, A. Leitura Anais do Encontro de Tecnologias, 1999 digital nas escolas.")[1] == 1
+
+
 def test_mistyped_suffix():
     given = frozenset({"vinicius"})
     a = names.readings("Vinícius", None, "Dinel leto", given)
