@@ -4,7 +4,8 @@ Tokens of the two texts span a plane. Points of correspondence are equal numbers
 and names and word pairs of a lexicon that is counted over all articles. Every pair
 of sentences is a rectangle of that plane; inside it the points of one row or
 column compete, the nearest to the rectangle's diagonal winning, and the survivors
-form a chain. Chains are taken strongest first: their points leave the plane, so
+form a chain, in any order: rough translations turn clauses round inside a sentence, so
+slope is not tested and rectangles do not grow. Chains are taken strongest first, equal ones nearest the diagonal of the plane: their points leave the plane, so
 the noise they cast on other rectangles goes with them, and what is left may still
 chain a further sentence when two statements were merged. Chains that cover enough
 of a statement become sentence pairs, in any order.
@@ -241,10 +242,14 @@ def align_tokens(left: list[list[str]], right: list[list[str]], lexicon: Lexicon
     least = np.minimum.outer(np.add.reduceat(top_a, a0[full_a]), np.add.reduceat(top_b, b0[full_b]))
     likely = np.argwhere(1.1 * np.minimum(by_a, by_b) >= cover * least).tolist()
     scores = {(full_a[p], full_b[q]): m for p, q in likely if (m := measure(full_a[p], full_b[q]))[0] >= cover}
+    def place(p: int, q: int) -> float:
+        """How far a rectangle lies from the diagonal of the plane; it decides between equal chains."""
+        return abs((a0[p] + a0[p + 1]) / a0[-1] - (b0[q] + b0[q + 1]) / b0[-1])
+
     out: list[tuple[int, int, float]] = []
     done: set[tuple[int, int]] = set()
     while scores:
-        (p, q), (s, chain) = max(scores.items(), key=lambda kv: (kv[1][0], -kv[0][0], -kv[0][1]))
+        (p, q), (s, chain) = max(scores.items(), key=lambda kv: (round(kv[1][0], 4), -place(*kv[0]), -kv[0][0], -kv[0][1]))
         if s < cover:
             break
         out.append((p + 1, q + 1, round(float(s), 4)))

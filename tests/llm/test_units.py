@@ -211,6 +211,12 @@ def test_added_sentences_do_not_unmake_a_translation():
     assert bitext.align("O gato vermelho dorme 12 horas em Tobal.", "The cat of Gugar sleeps 77 hours with Zemar." + added, table) == []
 
 
+def test_equal_sentences_are_paired_in_place():
+    table = {"chuva": {"rain": 0.9}, "forte": {"heavy": 0.9}, "gato": {"cat": 0.9}, "dorme": {"sleeps": 0.9}}
+    got = bitext.align("O gato dorme em Tobal. Chuva forte.", "Heavy rain. The cat sleeps in Tobal. Heavy rain.", table)
+    assert (2, 3) in {m[:2] for m in got} and (2, 1) not in {m[:2] for m in got}
+
+
 def _editor():
     words = "os alunos usaram uma ferramenta para apoiar a leitura digital nas escolas e os professores destacaram o principal benefício da motivação durante semanas de trabalho".split()
     clean = [" ".join(random.Random(i).sample(words, 16)) + "." for i in range(250)]
