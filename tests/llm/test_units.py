@@ -178,6 +178,22 @@ def test_person_names(a, b, same):
     assert names.same_person(names.readings(*a, given), names.readings(*b, given)) is same
 
 
+def test_very_long_names_are_compared():
+    many = " ".join(f"Nome{c * 4}" for c in "bcdfghjklmnpqrst")
+    read = [names.readings("Ana", m, "Silveira", frozenset()) for m in (many, many.upper(), "Xavier " + many)]
+    assert names.same_person(read[0], read[1]) and not names.same_person(names.readings("Ana", "Yvo", "Silveira", frozenset()), read[0])
+    assert names.same_person(read[0], read[2])
+
+
+def test_polynomial_assignment_is_the_cheapest():
+    rng = random.Random(8)
+    for _ in range(300):
+        b = [rng.choice(["a", "an", "ana", "anna", "maria", "mario", "m", "jose", "ze", "lima", "lina"]) for _ in range(rng.randint(1, 6))]
+        a = rng.sample(b, rng.randint(1, len(b)))
+        a = [x[: rng.choice([1, 9])] for x in a] if rng.random() < 0.7 else rng.choices(["a", "jose", "limma", "mari"], k=len(a))
+        assert abs(names.least_cost(tuple(a), tuple(b), names.person_cost) - names.assign(tuple(a), tuple(b), names.person_cost)[0]) < 1e-9
+
+
 def test_deletes_find_every_single_edit():
     rng = random.Random(5)
     for _ in range(300):
