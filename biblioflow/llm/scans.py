@@ -1,7 +1,7 @@
 """Repair of text taken from scanned pages (problem 6).
 
 An averaged perceptron edits characters: at every doubtful place it predicts keep,
-delete, replace, insert or line-join. A second one, fed with where a line stands on
+delete, replace or insert; lines are joined by rule. A second one, fed with where a line stands on
 the page and what it looks like, predicts which lines are page furniture; a third
 one, fed with the form and the surroundings of proposed spans, does so for furniture
 inside a line. All are
