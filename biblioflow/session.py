@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import os
 import shutil
-import sys
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 ROOT = Path(__file__).resolve().parent.parent
 
@@ -44,33 +43,43 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def latest(df: DataFrame, key: str, columns: list[str], order: str) -> DataFrame:
-    """One row per key: the one delivered last (ties: the greatest row).
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables that all executors share.
 
-    The maximum is taken before the shuffle as well, so a key delivered very
-    often costs one row per input partition. Rows with a null key are dropped.
+    It is the one that ``spark.checkpoint.dir`` names. Where that is unset a local
+    session (tests) takes a directory below its warehouse; a cluster is refused.
     """
-    packed = F.struct(F.col(order).alias("_o"), *[F.col(c).alias(c) for c in columns])
-    best = df.where(F.col(key).isNotNull()).groupBy(F.col(key)).agg(F.max(packed).alias("_m"))
-    return best.select(key, *[F.col("_m")[c].alias(c) for c in columns])
+    sc = spark.sparkContext
+    there = sc._jsc.sc().getCheckpointDir()
+    if there.isEmpty():
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(named or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints")
+        there = sc._jsc.sc().getCheckpointDir()
+    return there.get()
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage by a file that all executors share.
+    """Cut lineage by a table written to the shared folder; a lost executor repeats nothing before it.
 
-    The cluster's ``spark.checkpoint.dir`` is used; where it is unset (local
-    tests) a directory below the session's warehouse is taken.
+    Parquet takes a fraction of the room of checkpointed rows and its columns are
+    read one by one. `release` deletes the table when nothing reads it any more.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        there = spark.conf.get("spark.checkpoint.dir", None)
-        if not there:
-            there = spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
-        sc.setCheckpointDir(there)
-    return df.checkpoint(eager=True)
-
-
-def on_path() -> None:
-    if str(ROOT) not in sys.path:
-        sys.path.insert(0, str(ROOT))
+    if any(f.dataType.typeName() == "void" for f in df.schema.fields):
+        shared_folder(df.sparkSession)
+        return df.checkpoint(eager=True)
+    there = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(there)
+    out = df.sparkSession.read.schema(df.schema).parquet(there)
+    out._stored_at = there
+    return out
+
+
+def release(df: DataFrame | None) -> None:
+    """Delete what `checkpoint` wrote for this very DataFrame; others are left alone."""
+    there = getattr(df, "_stored_at", None)
+    if there:
+        jvm = df.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(there)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
