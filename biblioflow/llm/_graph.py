@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from biblioflow.session import checkpoint
+from biblioflow.session import checkpoint, release
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", most: int = 60) -> DataFrame:
@@ -14,7 +14,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most: int = 60) ->
     Every round links each neighbour greater than a node to the least neighbour
     (large star), then the smaller ones (small star), until no edge changes. A
     round costs shuffles of the edge table only and the table is written to the
-    shared checkpoint folder, so a lost executor repeats one round. Neighbour
+    shared folder and the one before it deleted, so a lost executor repeats one round. Neighbour
     lists are never collected: a hub of any degree is a plain aggregation.
     Null ends and loops are ignored; an empty table gives an empty result.
     """
@@ -30,7 +30,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most: int = 60) ->
         low = large.groupBy("x").agg(F.min("y").alias("m"))
         # each smaller neighbour goes to the least one, the node itself too
         small = large.join(low, "x").where("y > m").select(F.col("y").alias("x"), F.col("m").alias("y"))
-        now = checkpoint(small.unionByName(low.withColumnRenamed("m", "y")).distinct())
+        before, now = now, checkpoint(small.unionByName(low.withColumnRenamed("m", "y")).distinct())
+        release(before)
         state = now.agg(F.count("*"), F.sum(F.xxhash64("x", "y").cast("decimal(38,0)"))).first()
         if state == last:
             break
