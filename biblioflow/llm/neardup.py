@@ -138,7 +138,7 @@ def common_words(df: DataFrame, text: str, share: float = COMMON) -> tuple[list[
 #: Stands for all rows among the counted words, which have 48 bits.
 ALL = 1 << 60
 BAND, HOT = 0, 1
-SMALL = 256
+SMALL = 512
 #: Band entries that a task holds before it hands them over, and that one group of keys has on average.
 HELD = 1 << 20
 KEY_BITS = 40
@@ -295,13 +295,13 @@ def near_duplicates(df: DataFrame, key: str, text: str, threshold: float = THRES
     groups = max(256, total * bands // HELD)
     banded = _bands(base, often, rows, bands, groups)
     found = checkpoint(_bucket_pairs(banded))
-    edges = verify(found.where(F.col("kind") == BAND).select("a", "b"), base, threshold)
-    hot = found.where(F.col("kind") == HOT).select(F.col("a").alias("key"))
+    comps = components(verify(found.where(F.col("kind") == BAND).select("a", "b"), base, threshold))
+    hot = found.where(F.col("kind") == HOT).select(F.col("a").alias("node"), F.col("b").alias("key"))
     if not hot.isEmpty():
-        edges = checkpoint(edges)
-        more = _rest(banded, hot, components(edges))
-        edges = edges.unionByName(verify(more, base, threshold))
-    comps = components(edges)
+        comps = checkpoint(comps)
+        more = checkpoint(_rest(hot, comps))
+        ends = more.select(F.col("a").alias("node")).unionByName(more.select(F.col("b").alias("node"))).distinct()
+        comps = _joined(comps, verify(more, base.join(ends, "node", "left_semi"), threshold))
     release(found)
     if whole:
         return comps.select(F.col("node").cast(df.schema[key].dataType).alias(key), F.col("comp").alias("class"))
@@ -310,7 +310,7 @@ def near_duplicates(df: DataFrame, key: str, text: str, threshold: float = THRES
 
 
 def _bucket_pairs(banded: DataFrame) -> DataFrame:
-    """Distinct (a, b, kind): candidate pairs, and (key, key, HOT) of large buckets.
+    """Distinct (a, b, kind): candidate pairs, and (node, key, HOT) for the members of large buckets.
 
     The packed rows of a part stream through. Up to SMALL nodes of a bucket give all
     their pairs. A larger bucket gives the pairs of its first SMALL nodes and the
@@ -343,6 +343,7 @@ def _bucket_pairs(banded: DataFrame) -> DataFrame:
             spot = np.minimum(np.searchsorted(known, keys), len(known) - 1)
             late = known[spot] == keys
             out.append((np.array([hubs[k] for k in keys[late].tolist()], np.int64), nodes[late], BAND))
+            out.append((nodes[late], keys[late].view(np.int64), HOT))
             keys, nodes = keys[~late], nodes[~late]
         start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
         size = np.diff(np.append(start, len(keys)))
@@ -357,15 +358,17 @@ def _bucket_pairs(banded: DataFrame) -> DataFrame:
                 for f in first.tolist():
                     hubs[int(keys[f])] = int(nodes[f])
                     out.append((np.full(n - SMALL, nodes[f]), nodes[f + SMALL : f + n], BAND))
-                    out.append((keys[f : f + 1].view(np.int64), keys[f : f + 1].view(np.int64), HOT))
+                    out.append((nodes[f : f + n], keys[f : f + n].view(np.int64), HOT))
         small = np.repeat(size <= SMALL, size)
         return keys[small], nodes[small]
 
     def emit(out):
         a, b = np.concatenate([x[0] for x in out]), np.concatenate([x[1] for x in out])
         kind = np.concatenate([np.full(len(x[0]), x[2], np.int8) for x in out])
+        turn = (kind == BAND) & (a > b)
+        a, b = np.where(turn, b, a), np.where(turn, a, b)
         keep = (a != b) | (kind == HOT)
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[keep]), pa.array(np.maximum(a, b)[keep]), pa.array(kind[keep])], ["a", "b", "kind"])
+        return pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep]), pa.array(kind[keep])], ["a", "b", "kind"])
 
     def run(batches):
         part, held, size, hubs = None, [], 0, {}
@@ -401,30 +404,27 @@ def _bucket_pairs(banded: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, "a bigint, b bigint, kind tinyint").repartition("a").distinct()
 
 
-def _members(banded: DataFrame) -> DataFrame:
-    """(key, node), one row each, of packed bands."""
-
-    def run(batches):
-        for batch in batches:
-            for p, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if p >= 0:
-                    keys, nodes = _unpack(body)
-                    yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(nodes)], ["key", "node"])
-
-    return banded.select("part", "body").mapInArrow(run, "key bigint, node bigint")
-
-
-def _rest(banded: DataFrame, hot: DataFrame, comps: DataFrame) -> DataFrame:
-    """Pairs of large buckets that the first look left open.
+def _rest(hot: DataFrame, comps: DataFrame) -> DataFrame:
+    """Pairs of large buckets, given their members (node, key), that the first look left open.
 
     A link inside a component changes no class, so each node outside its bucket's
     largest component meets the nodes of that bucket that lie in other components.
     """
-    few = hot.limit(20_001).count() <= 20_000  # a checked size: 160 kB of keys
-    member = _members(banded).join(F.broadcast(hot) if few else hot, "key").distinct().join(comps, "node", "left")
-    member = checkpoint(member.select("key", "node", F.coalesce("comp", "node").alias("comp")))
+    member = checkpoint(hot.join(comps, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp")))
     size = member.groupBy("key", "comp").agg(F.count("*").alias("n"))
     main = size.groupBy("key").agg(F.max(F.struct("n", "comp"))["comp"].alias("main"))
     open_ = member.join(main, "key").where("comp <> main").select("key", F.col("node").alias("x"), F.col("comp").alias("cx"))
     met = open_.join(member, "key").where("comp <> cx")
     return met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+
+
+def _joined(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after further links between nodes; only what the links touch is contracted again."""
+    named = links
+    for end in ("a", "b"):
+        of = comps.select(F.col("node").alias(end), F.col("comp").alias("_c"))
+        named = named.join(of, end, "left").withColumn(end, F.coalesce("_c", end)).drop("_c")
+    merged = checkpoint(components(named))
+    to = merged.select(F.col("node").alias("comp"), F.col("comp").alias("_to"))
+    old = comps.join(to, "comp", "left").select("node", F.coalesce("_to", "comp").alias("comp"))
+    return old.unionByName(merged.join(comps, "node", "left_anti"))
