@@ -49,6 +49,36 @@ def test_pieces_tile_the_text_within_the_limit(text):
         assert all(n <= limit and n == chunks.count_tokens(text[a:b], ENC) for a, _, b, n in got)
 
 
+UNBROKEN = ["x" * 30_000, "日本語" * 5000, "é" * 20_000, "\n" * 9000, " " * 200 + "a" + (" " * 200 + "bc") * 2000, ("=" * 300 + "\n") * 600, "\U0001f600" * 3000]
+
+
+@pytest.mark.parametrize("text", [*UNBROKEN, "word " * 6000, "One. Two! " * 900])
+def test_seams_hold_the_whole_overlap_unless_a_word_starts(text):
+    got = chunks.split_text(text, ENC)
+    assert len(got) > 1
+    for (before, _, stop, _), (start, own, _, _) in zip(got, got[1:]):
+        n = chunks.count_tokens(text[start:own], ENC)
+        assert own == stop and before <= start and n <= chunks.OVERLAP
+        edge = start == 0 or text[start - 1].isspace() != text[start].isspace()
+        # one more character would be too much where the start is inside a word
+        assert n >= 64 and (edge or chunks.count_tokens(text[start - 1 : own], ENC) > chunks.OVERLAP)
+
+
+def test_seams_of_a_whole_table():
+    pq = pytest.importorskip("pyarrow.parquet")
+    path = "/root/testdata/sf0.01/documents.parquet"
+    if not __import__("os").path.exists(path):
+        pytest.skip("no test tables")
+    for text in pq.read_table(path, columns=["text"])["text"].to_pylist():
+        if not text or chunks.count_tokens(text, ENC, chunks.LIMIT) <= chunks.LIMIT:
+            continue
+        got = chunks.split_text(text, ENC)
+        assert max(n for *_, n in got) <= chunks.LIMIT and (got[0][0], got[-1][2]) == (0, len(text))
+        for start, own, _, _ in got[1:]:
+            n = chunks.count_tokens(text[start:own], ENC)
+            assert n == chunks.OVERLAP or n > 64 and text[start - 1].isspace() != text[start].isspace()
+
+
 def test_small_texts_are_one_piece():
     assert chunks.split_text(None, ENC) == [] and chunks.split_text("", ENC) == []
     assert chunks.split_text("short", ENC) == [(0, 0, 5, 1)]
