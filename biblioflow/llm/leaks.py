@@ -3,7 +3,9 @@
 Of every window of WINDOW consecutive k-grams of words the one with the least
 hash is kept. A shared run of K + WINDOW - 1 = SPAN words therefore always shares
 a kept k-gram, so joining the kept hashes of both sides misses no such run. Each
-hit is then extended word by word on the texts themselves.
+hit is then extended word by word on the texts themselves. A test set of checked
+size goes to every task, which looks up and extends where a document is read; a
+larger one is joined by its hashes.
 """
 
 from __future__ import annotations
@@ -13,11 +15,16 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from biblioflow.llm._text import mix, word_hashes, words
+from biblioflow.session import checkpoint
 
 SPAN = 12
 K = 6
+#: Most fingerprints and characters of the items that are sent to every task (24 MB of hashes, 64 MB of text).
+FINGERPRINTS = 2_000_000
+CHARACTERS = 16_000_000
 
 
 def _winnow(h: np.ndarray, counts: np.ndarray, k: int, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -97,31 +104,107 @@ def longest_shared_run(a: list[str], b: list[str], k: int = K) -> int:
     return best
 
 
+class Items:
+    """The items of a test set as a task needs them: sorted hashes with their item, and words on demand."""
+
+    def __init__(self, hashes: np.ndarray, item: np.ndarray, keys: list, texts: list[list[str]]):
+        order = np.lexsort((item, hashes))
+        self.hashes, self.item = hashes[order], item[order]
+        self.keys, self.texts = keys, texts
+
+    def hits(self, g: np.ndarray, doc: np.ndarray) -> list[tuple[int, int]]:
+        """Distinct (document, item) numbers that share a hash."""
+        lo, hi = np.searchsorted(self.hashes, g, "left"), np.searchsorted(self.hashes, g, "right")
+        n = hi - lo
+        met = np.flatnonzero(n)
+        n, lo = n[met], lo[met]
+        at = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(met) else met
+        return sorted(set(zip(np.repeat(doc[met], n).tolist(), self.item[at].tolist())))
+
+    def runs(self, texts: list[str | None], span: int, k: int) -> list[tuple[int, int, int]]:
+        """(document number, item number, longest shared run) of every pair that shares ``span`` words."""
+        out = []
+        h, counts = word_hashes(texts)
+        pairs = self.hits(*_winnow(h, counts, k, span - k + 1))
+        mine, last = [], -1
+        for doc, item in pairs:
+            if doc != last:
+                mine, last = words(texts[doc]), doc
+            n = max((longest_shared_run(mine, w, k) for w in self.texts[item]), default=0)
+            if n >= span:
+                out.append((doc, item, n))
+        return out
+
+
 def leaked(docs: DataFrame, doc_key: str, doc_text: str, items: DataFrame, item_key: str, item_text: str, span: int = SPAN, k: int = K) -> DataFrame:
     """(item, doc) pairs that share at least ``span`` consecutive words, with the longest run.
 
     Columns: the two keys (as item_key, doc_key) and ``n_words``. Null and empty
-    texts and items under ``span`` words match nothing; repeated rows of one key
-    give one row; other columns are not read. Only hashes that stand in an item
-    leave the first join, so a passage that stands in a third of all documents
-    costs one row for each of them, and documents are never held together.
+    texts, null keys and items under ``span`` words match nothing; repeated rows of
+    one key give one row, with the longest run of any of its texts; other columns are
+    not read. A test set within FINGERPRINTS and CHARACTERS is sent to the tasks and
+    no document leaves the one that reads it; both ways give the same rows.
     """
-    one = items.select(F.col(item_key).alias("item"), F.col(item_text).alias("item_text")).where("item is not null")
+    one = items.select(F.col(item_key).alias("item"), F.col(item_text).alias("item_text")).where("item is not null and item_text is not null")
+    size = one.agg(F.coalesce(F.sum(F.length("item_text")), F.lit(0)).alias("n")).first()["n"]
     mine = fingerprints(one, "item", "item_text", span, k).withColumnRenamed("key", "item").distinct()
-    theirs = fingerprints(docs, doc_key, doc_text, span, k).withColumnRenamed("key", "doc")
-    hits = theirs.join(mine, "h").groupBy("item", "doc").agg(F.lit(1).alias("_one")).drop("_one")
-    text = docs.select(F.col(doc_key).alias("doc"), F.col(doc_text).alias("doc_text"))
+    corpus = docs.select(F.col(doc_key).alias("doc"), F.col(doc_text).alias("doc_text")).where("doc is not null")
+    kinds = f"item {one.schema['item'].dataType.simpleString()}, doc {corpus.schema['doc'].dataType.simpleString()}, n_words int"
+    small = size <= CHARACTERS and mine.limit(FINGERPRINTS + 1).count() <= FINGERPRINTS
+    found = _look_up(corpus, one, mine, kinds, span, k) if small else _join(corpus, one, mine, kinds, span, k)
+    out = found.groupBy("item", "doc").agg(F.max("n_words").alias("n_words"))
+    return out.select(F.col("item").alias(item_key), F.col("doc").alias(doc_key), "n_words")
+
+
+def _look_up(corpus: DataFrame, one: DataFrame, mine: DataFrame, kinds: str, span: int, k: int) -> DataFrame:
+    """Pairs of a test set of checked size, found in the pass that reads the documents."""
+    texts: dict = {}
+    for r in one.distinct().collect():
+        texts.setdefault(r["item"], []).append(words(r["item_text"]))
+    keys = list(texts)
+    number = {key: i for i, key in enumerate(keys)}
+    prints = mine.collect()
+    hashes = np.array([r["h"] for r in prints], np.int64).view(np.uint64)
+    known = corpus.sparkSession.sparkContext.broadcast(Items(hashes, np.array([number[r["item"]] for r in prints], np.int64), keys, list(texts.values())))
+
+    def run(batches):
+        found = known.value
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            for lo, hi in _slices(texts):
+                got = found.runs(texts[lo:hi], span, k)
+                if got:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([found.keys[i] for _, i, _ in got], item_type), batch.column(0).take(pa.array([d + lo for d, _, _ in got])), pa.array([n for *_, n in got], pa.int32())],
+                        ["item", "doc", "n_words"],
+                    )
+
+    item_type = to_arrow_type(one.schema["item"].dataType)
+    return corpus.mapInArrow(run, kinds)
+
+
+def _join(corpus: DataFrame, one: DataFrame, mine: DataFrame, kinds: str, span: int, k: int) -> DataFrame:
+    """Pairs of a test set of any size: hashes meet first, then the texts of the hits.
+
+    Only hashes that stand in an item leave the first join, so a passage that stands in
+    a third of all documents costs one row for each of them; the hits are written,
+    and documents without any do not reach the second join.
+    """
+    theirs = fingerprints(corpus, "doc", "doc_text", span, k).withColumnRenamed("key", "doc")
+    hits = checkpoint(theirs.join(mine, "h").select("item", "doc").distinct())
+    text = corpus.join(hits.select("doc").distinct(), "doc", "left_semi")
     pairs = text.join(hits, "doc").join(one, "item").select("item", "doc", "doc_text", "item_text")
 
     def extend(frames):
+        last, mine = None, []
         for pdf in frames:
             got = []
             for item, doc, d, t in pdf.itertuples(index=False):
-                n = longest_shared_run(words(d), words(t), k)
+                if d is not last:
+                    last, mine = d, words(d)
+                n = longest_shared_run(mine, words(t), k)
                 if n >= span:
                     got.append((item, doc, n))
             yield pd.DataFrame(got, columns=["item", "doc", "n_words"])
 
-    kinds = f"item {one.schema['item'].dataType.simpleString()}, doc {text.schema['doc'].dataType.simpleString()}, n_words int"
-    out = pairs.mapInPandas(extend, kinds).groupBy("item", "doc").agg(F.max("n_words").alias("n_words"))
-    return out.select(F.col("item").alias(item_key), F.col("doc").alias(doc_key), "n_words")
+    return pairs.mapInPandas(extend, kinds)

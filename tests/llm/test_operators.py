@@ -99,7 +99,9 @@ def test_encoding(spark):
     assert tokens.encode_corpus(spark.createDataFrame([], "k long, t string"), "k", "t").collect() == []
 
 
-def test_leaks(spark):
+@pytest.mark.parametrize("most", [leaks.FINGERPRINTS, 0])
+def test_leaks(spark, monkeypatch, most):
+    monkeypatch.setattr(leaks, "FINGERPRINTS", most)  # sent to the tasks, or joined
     item = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
     rows = [(1, "x " * 5000 + item.upper().replace(" ", ", ") + " y"), (2, " ".join(item.split()[:12])), (3, " ".join(item.split()[:11])), (4, None), (5, ""), (1, "x " + item), (6, "óne " + item[4:])]
     docs = clash(spark.createDataFrame(rows, "k long, t string"))
