@@ -118,5 +118,34 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (p2_found, p2_classes, p3_found, p4_found, p5_found, p5_languages, p6_found, p6_restored, p7_found, p7_restored, p8_ids, p9_found, p10_found, p10_pieces)}
 
 
+_WORDS = r"regexp_extract_all(strip_accents(lower({})), '[\p{{L}}\p{{N}}]+')"
+# An exact similarity join: two sets that share 0.65 of their union share one of the rarest words of each, as many
+# as a set of that size may lack and one more.
+_CLASSES = f"""
+WITH RECURSIVE s AS (SELECT ref_id, list_sort(list_distinct({_WORDS.format('min(description)')})) AS w FROM bib_references WHERE description IS NOT NULL GROUP BY ref_id),
+t AS (SELECT DISTINCT md5(array_to_string(w, ' ')) AS h, w, len(w) AS n FROM s WHERE len(w) > 0),
+e AS (SELECT h, n, unnest(w) AS x FROM t),
+f AS (SELECT x, count(*) AS df FROM e GROUP BY x),
+p AS (SELECT h, x FROM (SELECT h, n, e.x, row_number() OVER (PARTITION BY h ORDER BY df, e.x) AS k FROM e JOIN f USING (x)) WHERE k <= n - ceil(0.65 * n - 1e-6) + 1),
+d AS (SELECT DISTINCT a.h AS a, b.h AS b FROM p a JOIN p b ON a.x = b.x AND a.h < b.h),
+v AS (SELECT d.a, d.b, len(list_intersect(s.w, u.w)) AS m, s.n AS n1, u.n AS n2 FROM d JOIN t s ON s.h = d.a JOIN t u ON u.h = d.b),
+one AS (SELECT a, b FROM v WHERE m >= 0.65 * (n1 + n2 - m) - 1e-9),
+l AS (SELECT a, b FROM one UNION ALL SELECT b, a FROM one),
+c(h, m) AS (SELECT h, h FROM t UNION SELECT c.h, l.b FROM c JOIN l ON l.a = c.m),
+g AS (SELECT h, min(m) AS g FROM c GROUP BY h),
+r AS (SELECT s.ref_id, g.g FROM s JOIN g ON md5(array_to_string(s.w, ' ')) = g.h WHERE len(s.w) > 0)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL of the queries that it can express: exact similarity join and closure, and shared runs of words."""
+    return {
+        "p2_found": _CLASSES + "SELECT a.ref_id AS ref_a, b.ref_id AS ref_b FROM r a JOIN r b USING (g) WHERE a.ref_id < b.ref_id",
+        "p2_classes": _CLASSES + "SELECT ref_id, class FROM (SELECT ref_id, min(ref_id) OVER (PARTITION BY g) AS class, count(*) OVER (PARTITION BY g) AS n FROM r) WHERE n > 1",
+        "p9_found": f"""
+WITH i AS (SELECT DISTINCT item_id, {_WORDS.format('text')} AS w FROM eval_items WHERE text IS NOT NULL),
+d AS (SELECT DISTINCT doc_id, {_WORDS.format('text')} AS w FROM documents WHERE text IS NOT NULL),
+x AS (SELECT DISTINCT item_id, hash(array_to_string(w[k:k + 11], ' ')) AS g FROM i, unnest(generate_series(1, len(w) - 11)) AS s(k)),
+y AS (SELECT doc_id, hash(array_to_string(w[k:k + 11], ' ')) AS g FROM d, unnest(generate_series(1, len(w) - 11)) AS s(k))
+SELECT DISTINCT item_id, doc_id FROM x JOIN y USING (g)""",
+    }
