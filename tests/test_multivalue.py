@@ -16,14 +16,30 @@ ALL = ("line", "tab", "semicolon", "bar", "bullet", "comma", "slash", "dash", "s
     ],
 )
 def test_full_dialect(text, want):
-    assert [v for v, _ in parse(text, ALL, True, False)] == want
+    assert parse(text, ALL, True, False) == want
 
 
 def test_dialects_differ():
-    names = {n for n, _ in candidates("a, b; c")}
+    names = {name for name, *_ in candidates("a, b; c")}
     assert {"", "comma", "semicolon", "comma+semicolon"} <= {"+".join(sorted(n.split("+"))) if n else "" for n in names}
 
 
+def test_every_subset_is_tried():
+    text = "a; b | c, d / e - f\tg\nh"
+    kinds = ("line", "tab", "semicolon", "bar", "comma", "slash", "dash")
+    assert {tuple(v for v, _ in values) for _, values, *_ in candidates(text)} == {tuple(parse(text, tuple(k for i, k in enumerate(kinds) if n >> i & 1), False, False)) for n in range(1 << len(kinds))}
+
+
+def test_counts_change_the_dialect(spark):
+    """A whole that other fields quote, and whose parts none knows, is one value; where parts are known it is two."""
+    odd = [(100, "alpha, omega; kappa")]
+    quoted = [(i, f'"alpha, omega"; word{i}; more{i}') for i in range(20)]
+    parted = [(i, f"alpha, word{i}, omega, more{i}") for i in range(20)]
+    for others, want in ((quoted, ["alpha, omega", "kappa"]), (parted, ["alpha", "omega", "kappa"])):
+        got = split_values(spark.createDataFrame(others + odd, "seq long, k string"), "seq", ["k"])
+        assert [r["value"] for r in got.where("seq = 100").orderBy("pos").collect()] == want
+
+
 def test_table(spark):
     data = [(i, "Web 2.0; IoT; C++", None) for i in range(12)] + [(i, "360° view, IoT", "") for i in range(12, 24)]
     data += [(50, "Web 2.0,360° view", "  "), (50, "Web 2.0,360° view", "  "), (51, None, "x" * 5000 + "; y"), (None, "a; b", "c"), (52, '"broken; IoT', "3,5; IoT")]
