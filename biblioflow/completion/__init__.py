@@ -30,6 +30,11 @@ class Offline:
     def __init__(self, answers: dict[str, str] | None = None, default: str = "{}"):
         self.answers, self.default = answers or {}, default
 
+    @classmethod
+    def empty(cls) -> Offline:
+        """Answers nothing, so texts stay as they are."""
+        return cls(default="")
+
     def complete(self, prompt: str, as_json: bool = False) -> str:
         return self.answers.get(prompt, self.default)
 
@@ -43,7 +48,7 @@ class Http:
     def complete(self, prompt: str, as_json: bool = False) -> str:
         import urllib.request
 
-        body = {"model": self.model, "prompt": prompt, "max_tokens": self.most_tokens, "json": as_json} | options(self.model)
+        body = {"model": self.model, "prompt": prompt, "max_tokens": self.most_tokens, "json": as_json} | options(self.model, as_json)
         ask = urllib.request.Request(self.url, json.dumps(body).encode(), {"Authorization": f"Bearer {self.key}", "Content-Type": "application/json"})
         with urllib.request.urlopen(ask, timeout=300) as answer:
             return json.loads(answer.read()).get("text") or ""
@@ -61,9 +66,27 @@ def factory(settings: dict, environment: dict | None = None) -> Callable[[], Pro
     return lambda: Http(url, key, settings.get("engine", ""), settings.get("most_tokens", 4000))
 
 
-def options(model: str) -> dict:
-    """Temperature 0 for models that take one; the name parts are fixed values."""
-    return {} if any(s in model for s in ("gpt-5", "o1", "o3", "o4")) else {"temperature": 0}
+# Parts of model names that take no temperature, and that know no JSON mode.
+NO_TEMPERATURE = ("gpt-5-", "o3-", "o4-")
+NO_JSON = ("gpt-5-nano-",)
+# The clients of a run and the prompt that each one uses.
+CLIENTS = {
+    "article_ai_client": "article_extraction", "references_ai_client": "references_extraction", "field_completion_ai_client": "field_completion",
+    "affiliation_correction_client": "author_affiliation_correction", "text_processing_client": "text_processing",
+}
+
+
+def options(model: str, as_json: bool = False) -> dict:
+    """Temperature 0 for models that take one, JSON mode where it is asked for and known."""
+    out: dict = {} if any(s in model for s in NO_TEMPERATURE) else {"temperature": 0}
+    if as_json and not any(s in model for s in NO_JSON):
+        out["response_format"] = {"type": "json_object"}
+    return out
+
+
+def clients(config, make: Callable[[], Provider]) -> dict[str, tuple[Callable[[], Provider], str]]:
+    """The named clients of a run: what makes each one's provider, and its prompt from the configuration."""
+    return {name: (make, config.prompt(prompt)) for name, prompt in CLIENTS.items()}
 
 
 def parse(text: str):
@@ -134,7 +157,9 @@ def extract_articles(df: DataFrame, first: str, last: str, make: Callable[[], Pr
     both = asked.select(F.explode(F.array("_p1", "_p2")).alias("prompt"))
     answers = complete(both, "prompt", make, True, known)
     a = answers.select(F.col("prompt").alias("_p1"), F.from_json("answer", ARTICLE).alias("article"))
-    b = answers.select(F.col("prompt").alias("_p2"), F.from_json("answer", REFERENCES)["references"].alias("refs"))
+    # items of a list that are no objects are left out
+    a = a.withColumn("article", F.col("article").withField("authors", F.filter("article.authors", lambda x: x.isNotNull())))
+    b = answers.select(F.col("prompt").alias("_p2"), F.filter(F.from_json("answer", REFERENCES)["references"], lambda x: x.isNotNull()).alias("refs"))
     return asked.join(a, "_p1", "left").join(b, "_p2", "left").drop("_p1", "_p2").withColumn("language", F.lit("pt"))
 
 
@@ -172,4 +197,5 @@ def repair_text(df: DataFrame, text: str, flagged, make: Callable[[], Provider],
     """``df`` with the flagged texts replaced by their repaired form."""
     asked = df.withColumn("_p", F.when(flagged, F.concat(F.lit(prompt), F.col(text))))
     answers = complete(asked.where("_p is not null"), "_p", make, as_json=False).select(F.col("prompt").alias("_p"), "answer")
-    return asked.join(answers, "_p", "left").withColumn(text, F.coalesce("answer", text)).drop("_p", "answer")
+    better = F.when(F.coalesce("answer", F.lit("")) != "", F.col("answer")).otherwise(F.col(text))
+    return asked.join(answers, "_p", "left").withColumn(text, better).drop("_p", "answer")

@@ -24,6 +24,16 @@ def full_name(first: Column, middle: Column, last: Column) -> Column:
     return F.when(b != "", F.concat_ws(" ", a, b, c)).otherwise(F.concat(a, F.lit(" "), c))
 
 
+def author_text(author: Column) -> Column:
+    """How an author struct reads: the full name."""
+    return full_name(author["authorFirstName"], author["authorMiddleName"], author["authorLastName"])
+
+
+def reference_text(reference: Column) -> Column:
+    """How a reference struct reads: its description."""
+    return F.coalesce(reference["description"], F.lit(""))
+
+
 def author_cell(cell: Column) -> Column:
     """struct(name, affiliation, country) of 'name; affiliation; country[; ...]', null for fewer parts."""
     parts = F.split(cell, ";")

@@ -21,14 +21,19 @@ def last_wins(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     return best.select(key, *[F.col("_m._r")[c].alias(c) for c in rest])
 
 
+def _ranged(df: DataFrame, order: list[Column]) -> DataFrame:
+    """``df`` in range partitions, written, with the partition (_part) and the place in it (_at) of every row."""
+    part, local = F.spark_partition_id(), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return checkpoint(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"_part": part, "_at": local}))
+
+
 def number_rows(df: DataFrame, order: list[Column], name: str = "seq", start: int = 1) -> DataFrame:
     """Numbers rows 1, 2, ... in a total order without gathering them in one task.
 
     Rows are range-partitioned and sorted, written to the checkpoint folder, and the
     sizes of the partitions (one row each) give every partition its offset.
     """
-    part, local = F.spark_partition_id(), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    ranged = checkpoint(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"_part": part, "_at": local}))
+    ranged = _ranged(df, order)
     sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
     w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
@@ -37,14 +42,27 @@ def number_rows(df: DataFrame, order: list[Column], name: str = "seq", start: in
 
 
 def number_within(df: DataFrame, group: str, order: list[Column], name: str = "seq") -> DataFrame:
-    """Numbers rows from 1 in each group."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(group).orderBy(*order)).cast("bigint"))
+    """Numbers rows from 1 in each group (null is one), whatever share of the rows a group holds.
+
+    Range partitions by group and order cut a large group into several; rows are
+    counted inside each and what a group has in earlier partitions is added. Only
+    groups that straddle partitions have such an offset, so these are few rows.
+    """
+    ranged = _ranged(df, [F.col(group).asc_nulls_first(), *order])
+    sizes = ranged.groupBy("_part", group).agg(F.count("*").alias("_n"))
+    w = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    late = sizes.select("_part", F.col(group).alias("_g"), F.sum("_n").over(w).alias("_before")).where("_before > 0")
+    local = F.row_number().over(Window.partitionBy("_part", group).orderBy("_at"))
+    numbered = ranged.withColumn("_k", local)
+    numbered = numbered.join(F.broadcast(late.withColumnRenamed("_part", "_p")), (F.col("_part") == F.col("_p")) & F.col(group).eqNullSafe(F.col("_g")), "left")
+    return numbered.withColumn(name, (F.coalesce("_before", F.lit(0)) + F.col("_k")).cast("bigint")).drop("_part", "_at", "_k", "_p", "_g", "_before")
 
 
 def make_unique(df: DataFrame, name: str, order: list[Column], out: str) -> DataFrame:
     """The k-th repeat of a name gets '-k'; the first stays bare."""
-    k = F.row_number().over(Window.partitionBy(name).orderBy(*order)) - 1
-    return df.withColumn(out, F.when(k == 0, F.col(name)).otherwise(F.concat(F.col(name), F.lit("-"), k.cast("string"))))
+    k = F.col("_no") - 1
+    numbered = number_within(df, name, order, "_no")
+    return numbered.withColumn(out, F.when(k == 0, F.col(name)).otherwise(F.concat(F.col(name), F.lit("-"), k.cast("string")))).drop("_no")
 
 
 def most_common(df: DataFrame, value: str, order: list[str]) -> DataFrame:
@@ -56,12 +74,20 @@ def most_common(df: DataFrame, value: str, order: list[str]) -> DataFrame:
 def carry_forward(df: DataFrame, value: str, order: list[Column], out: str, group: str | None = None) -> DataFrame:
     """The last non-null value up to a row, '' before the first.
 
-    With ``group`` (an issue, say) every group is a window of its own; without it the
-    whole table is one ordered sequence, which suits a single page of contents.
+    With ``group`` (an issue, say) every group is a window of its own. Without it the
+    table is one ordered sequence in range partitions: each is filled by itself, and
+    starts with the last value of those before it (one row for each partition).
     """
-    w = Window.partitionBy(group) if group else Window.partitionBy(F.lit(0))
-    w = w.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn(out, F.coalesce(F.last(value, ignorenulls=True).over(w), F.lit("")))
+    up = Window.unboundedPreceding
+    if group:
+        w = Window.partitionBy(group).orderBy(*order).rowsBetween(up, Window.currentRow)
+        return df.withColumn(out, F.coalesce(F.last(value, ignorenulls=True).over(w), F.lit("")))
+    ranged = _ranged(df, order)
+    last = ranged.groupBy("_part").agg(F.max(F.when(F.col(value).isNotNull(), F.struct("_at", value)))[value].alias("_v"))
+    earlier = last.select("_part", F.last("_v", ignorenulls=True).over(Window.orderBy("_part").rowsBetween(up, -1)).alias("_before"))
+    own = F.last(value, ignorenulls=True).over(Window.partitionBy("_part").orderBy("_at").rowsBetween(up, Window.currentRow))
+    filled = ranged.withColumn("_own", own).join(F.broadcast(earlier), "_part")
+    return filled.withColumn(out, F.coalesce("_own", "_before", F.lit(""))).drop("_part", "_at", "_own", "_before")
 
 
 def assign_sections(nodes: DataFrame, group: str, pos: str, tag: str) -> DataFrame:
@@ -110,6 +136,16 @@ def project(df: DataFrame, headers: dict[str, str], constants: dict[str, Column]
     return df.select(*[one(n, s) for n, s in headers.items()])
 
 
+def rename(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """Columns under their other names (a record's field names to column names or back); the rest passes through."""
+    return df.withColumnsRenamed({k: v for k, v in names.items() if k in df.columns})
+
+
+def objects(array: Column) -> Column:
+    """The items of an array that are objects; an absent array gives null, items of another kind were read as null."""
+    return F.filter(array, lambda x: x.isNotNull())
+
+
 def is_empty(df: DataFrame, column: str) -> Column:
     """Null, '' and an empty array are empty; 0 and false are not."""
     kind = df.schema[column].dataType.typeName()
@@ -149,12 +185,12 @@ def merge(site: DataFrame, documents: DataFrame, host: str = "doi.org", prefix:
     )
 
 
-def chunks(df: DataFrame, order: list[Column], line: Column, size: int = 20) -> DataFrame:
-    """(chunk, n, body): rows in order, ``size`` to a chunk, their lines joined by line breaks."""
+def chunks(df: DataFrame, order: list[Column], line: Column, size: int = 20, header: str = "") -> DataFrame:
+    """(chunk, n, body): rows in order, ``size`` to a chunk, their lines below the header, joined by line breaks."""
     numbered = number_rows(df.withColumn("_line", line), order, "_pos")
     grouped = numbered.withColumn("chunk", F.floor((F.col("_pos") - 1) / size)).groupBy("chunk")
     lines = F.transform(F.sort_array(F.collect_list(F.struct("_pos", "_line"))), lambda x: x["_line"])
-    return grouped.agg(F.count("*").alias("n"), F.array_join(lines, "\n").alias("body"))
+    return grouped.agg(F.count("*").alias("n"), F.concat(F.lit(header + "\n" if header else ""), F.array_join(lines, "\n")).alias("body"))
 
 
 def replace_by_mapping(left: DataFrame, column: str, mapping: DataFrame, key: str, new: str) -> DataFrame:

@@ -171,6 +171,22 @@ def doi_prefix_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.most_common(orders, "prefix", ["o_orderkey"])
 
 
+@query(
+    "SELECT prefix, n FROM (SELECT prefix, count(*) AS n, min((seq, source, ref)) AS f FROM (SELECT seq, 0 AS source, 0 AS ref, '10.5753/ab' || (seq % 4) || '.2019.' AS prefix FROM " + _ART
+    + " WHERE seq % 3 <> 0 UNION ALL SELECT article, 1, ref_id, '10.5753/ab' || (ref_id % 5) || '.2019.' FROM (SELECT DISTINCT article, ref_id FROM bib_references WHERE article IN (SELECT seq FROM articles))) "
+    "GROUP BY prefix ORDER BY n DESC, f LIMIT 1)"
+)
+def doi_pool_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pool of a prefix: an article's own DOI, where it has one, comes before those of its documents."""
+    def made(k, parts: int):
+        return F.concat(F.lit("https://doi.org/10.5753/ab"), (k % parts).cast("string"), F.lit(".2019."), k.cast("string"))
+
+    art = _articles(spark, sf_dir, "id_jems").select("seq", F.lit(0).alias("source"), F.lit(0).cast("bigint").alias("ref"), F.when(F.col("seq") % 3 != 0, made(F.col("seq"), 4)).alias("doi"))
+    refs = table(spark, sf_dir, "bib_references", "ref_id", "article").distinct().join(art.select(F.col("seq").alias("article")), "article", "left_semi")
+    pool = art.unionByName(refs.select(F.col("article").alias("seq"), F.lit(1).alias("source"), F.col("ref_id").alias("ref"), made(F.col("ref_id"), 5).alias("doi")))
+    return T.most_common(pool.withColumn("prefix", ids.doi_prefix(ids.normalize_doi(F.col("doi")))), "prefix", ["seq", "source", "ref"])
+
+
 _URL = "'http://host.example/index.php/x/article/view/' || doc_id || '/a%20b+' || doc_id || CASE doc_id % 3 WHEN 0 THEN '.pdf' WHEN 1 THEN '.pdf?x=1' ELSE '' END"
 
 
@@ -314,6 +330,48 @@ def _authors(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return T.last_wins(table(spark, sf_dir, "authors", "author_id", "loaded_at", *columns), "author_id", ["loaded_at"])
 
 
+def _by_section(spark: SparkSession, sf_dir: str, items: DataFrame, *columns: str) -> DataFrame:
+    """Items of articles under the number that the article has in its section."""
+    own = T.number_within(_articles(spark, sf_dir, "section_abbrev"), "section_abbrev", [F.col("seq")], "no")
+    place = own.select(F.col("seq").alias("article"), F.col("section_abbrev").alias("section"), "no")
+    return items.join(place, "article").select("section", F.col("no").alias("article"), *columns)
+
+
+_SECTIONED = "(SELECT seq, section_abbrev AS section, row_number() OVER (PARTITION BY section_abbrev ORDER BY seq) AS no FROM " + _ART + ")"
+
+
+@query(f"SELECT section, no AS article, author_id, author_last_name FROM {_AUT} a JOIN {_SECTIONED} s ON a.article = s.seq")
+def authors_by_section(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _by_section(spark, sf_dir, _authors(spark, sf_dir, "article", "author_last_name"), "author_id", "author_last_name")
+
+
+@query(f"SELECT section, no AS article, ref_id, md5(coalesce(description, '')) AS hash FROM {_REF} r JOIN {_SECTIONED} s ON r.article = s.seq")
+def references_by_section(spark: SparkSession, sf_dir: str) -> DataFrame:
+    refs = T.last_wins(table(spark, sf_dir, "bib_references", "ref_id", "loaded_at", "article", "description"), "ref_id", ["loaded_at"])
+    return _by_section(spark, sf_dir, refs.withColumn("hash", F.md5(F.coalesce("description", F.lit("")))), "ref_id", "hash")
+
+
+@query(
+    "SELECT s.section_abbrev AS section, s.section_title, count(a.seq) AS n FROM sections s LEFT JOIN (SELECT seq, section_abbrev FROM "
+    + _ART + " ORDER BY seq LIMIT 5) a ON a.section_abbrev = s.section_abbrev GROUP BY ALL"
+)
+def sections_of_a_limited_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every section with its articles among the first five of a limited run: sections are never limited."""
+    first = _articles(spark, sf_dir, "section_abbrev").orderBy("seq").limit(5)
+    every = table(spark, sf_dir, "sections", "section_abbrev", "section_title")
+    return every.join(first, "section_abbrev", "left").groupBy(F.col("section_abbrev").alias("section"), "section_title").agg(F.count("seq").alias("n"))
+
+
+@query(
+    "SELECT seq, coalesce(last_value(u IGNORE NULLS) OVER (ORDER BY seq ROWS UNBOUNDED PRECEDING), '') AS url FROM "
+    "(SELECT seq, CASE WHEN seq % 3 <> 0 THEN 'http://host.example/rt/metadata/' || seq END AS u FROM " + _ART + ")"
+)
+def carry_forward_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One ordered sequence over the whole table, carried on over range partitions."""
+    url = F.when(F.col("seq") % 3 != 0, F.concat(F.lit("http://host.example/rt/metadata/"), F.col("seq").cast("string")))
+    return T.carry_forward(_articles(spark, sf_dir, "id_jems").select("seq", url.alias("u")), "u", [F.col("seq")], "url").select("seq", "url")
+
+
 def _nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     aut = _authors(spark, sf_dir, "article", "item_order", *_NAME_FIELDS)
     return T.nest(_articles(spark, sf_dir), aut.withColumnRenamed("article", "seq"), "seq", ["item_order", "author_id"], list(_NAME_FIELDS), "authors")
@@ -417,7 +475,7 @@ def project_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT c_custkey AS id_jems, c_name AS author_name, c_nationkey AS country, c_acctbal, c_mktsegment FROM customer")
 def rename_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").withColumnsRenamed({"c_custkey": "id_jems", "c_name": "author_name", "c_nationkey": "country"})
+    return T.rename(table(spark, sf_dir, "customer"), {"c_custkey": "id_jems", "c_name": "author_name", "c_nationkey": "country"})
 
 
 _GATED = ("title_orig", "title_en", "section_abbrev", "abstract_orig", "abstract_en", "doi")

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import csv
-import io
+import json
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from biblioflow.operators.tables import number_within, project
+from biblioflow.session import checkpoint
 
 # Column order of the published tables.
 ARTICLES = ("seq", "language", "sectionAbbrev", "titleOrig", "titleEn", "abstractOrig", "abstractEn", "keywordsOrig", "keywordsEn", "pages", "idJEMS", "doi")
@@ -52,11 +53,27 @@ def write_tables(articles: DataFrame, authors: DataFrame, references: DataFrame,
         write_csv(published(df, headers), str(Path(folder, f"{prefix}{name}.csv")))
 
 
-def write_by_section(articles: DataFrame, folder: str, before: bool = False) -> None:
-    """Article tables by section, numbered from 1 in each; one directory per section."""
-    own = number_within(articles.withColumnRenamed("seq", "_pos"), "sectionAbbrev", [F.col("_pos")])
-    table = published(own, ARTICLES).withColumn("section", F.col("sectionAbbrev"))
-    write_csv(table, str(Path(folder, "por_workshop", f"{BEFORE if before else ''}Artigos")), "section")
+def load_headers(path: str) -> dict[str, tuple[str, ...]]:
+    """Ordered column lists of a JSON file, by table."""
+    return {k: tuple(v) for k, v in json.loads(Path(path).read_text(encoding="utf-8")).items()}
+
+
+def write_by_section(articles: DataFrame, authors: DataFrame, references: DataFrame, folder: str, before: bool = False) -> None:
+    """Article, author and reference tables by section, articles numbered from 1 in each; one directory per section.
+
+    Authors and references name their article by its number in the section. Rows
+    without a section form the section UNKNOWN.
+    """
+    known = articles.withColumn("sectionAbbrev", F.coalesce("sectionAbbrev", F.lit("UNKNOWN"))).withColumnRenamed("seq", "_pos")
+    own = checkpoint(number_within(known, "sectionAbbrev", [F.col("_pos")]))
+    place = own.select(F.col("_pos").alias("article"), "seq", F.col("sectionAbbrev").alias("section"))
+    prefix = BEFORE if before else ""
+    tables = [(published(own, ARTICLES).withColumn("section", F.col("sectionAbbrev")), "Artigos")]
+    for items, headers, name in ((authors, AUTHORS, "Autores"), (references, REFERENCES, "Referencias")):
+        mine = items.join(place, "article").drop("article").withColumnRenamed("seq", "article")
+        tables.append((project(mine, {h: h for h in (*headers, "section")}), name))
+    for table, name in tables:
+        write_csv(table, str(Path(folder, "por_workshop", prefix + name)), "section")
 
 
 def write_sections(sections: DataFrame, folder: str) -> None:
@@ -68,10 +85,29 @@ def write_snapshot(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path if path.endswith(".json") else path + ".json")
 
 
-def csv_text(headers: tuple[str, ...], rows: list[dict]) -> str:
-    """Small tables as text, for model calls."""
-    out = io.StringIO()
-    writer = csv.DictWriter(out, headers, delimiter=";", extrasaction="ignore", restval="")
-    writer.writeheader()
-    writer.writerows(rows)
-    return out.getvalue()
+def write_json_file(df: DataFrame, path: str, order: list[str]) -> int:
+    """One file with one indented array, rows in order, streamed through the driver a partition at a time; nulls are kept."""
+    Path(path).parent.mkdir(parents=True, exist_ok=True)
+    n = 0
+    with open(path, "w", encoding="utf-8") as out:
+        for row in df.orderBy(*order).toLocalIterator():
+            text = json.dumps(row.asDict(recursive=True), ensure_ascii=False, indent=2)
+            out.write(("[\n  " if not n else ",\n  ") + text.replace("\n", "\n  "))
+            n += 1
+        out.write("\n]" if n else "[]")
+    return n
+
+
+def dump_documents(documents: DataFrame, folder: str) -> None:
+    """Pages of every document as JSON, for a look at what was read."""
+    write_snapshot(documents, str(Path(folder, "text")))
+
+
+def csv_line(columns: list[Column]) -> Column:
+    """One line of a table for a model call: ';' between cells, cells quoted where they need it, '' for null."""
+    def cell(c: Column) -> Column:
+        t = F.coalesce(c.cast("string"), F.lit(""))
+        quoted = F.concat(F.lit('"'), F.replace(t, F.lit('"'), F.lit('""')), F.lit('"'))
+        return F.when(t.rlike('[;"\r\n]'), quoted).otherwise(t)
+
+    return F.concat_ws(";", *[cell(c) for c in columns])

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import os
 import urllib.request
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from pathlib import Path
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from biblioflow.functions import ids, pages
+from biblioflow.session import checkpoint
 
 _MISSING = object()
 
@@ -59,7 +62,7 @@ def fetch(url: str) -> bytes:
         return answer.read()
 
 
-def download(urls: DataFrame, url: str, folder: str, present: DataFrame | None = None, get: Callable[[str], bytes] = fetch) -> DataFrame:
+def download(urls: DataFrame, url: str, present: DataFrame | None = None, get: Callable[[str], bytes] = fetch) -> DataFrame:
     """(url, file_name, content) of every address whose file is not present yet, fetched in executors."""
     wanted = urls.select(F.col(url).alias("url")).distinct().withColumn("file_name", ids.file_name(F.col("url")))
     if present is not None:
@@ -72,6 +75,32 @@ def download(urls: DataFrame, url: str, folder: str, present: DataFrame | None =
     return wanted.select("url", "file_name").mapInPandas(run, "url string, file_name string, content binary")
 
 
+def land(urls: DataFrame, url: str, folder: str, get: Callable[[str], bytes] = fetch) -> DataFrame:
+    """Raw files of the addresses in a folder that all executors share; (url, file_name, fetched), one row per address.
+
+    A file that is there is not fetched again. A task writes beside the place and
+    renames, so a repeated or lost task leaves no half a file. An error status raises.
+    """
+    wanted = urls.select(F.col(url).alias("url")).distinct().withColumn("file_name", ids.file_name(F.col("url")))
+    bare = folder.removeprefix("file://").removeprefix("file:")
+
+    def run(frames: Iterator[pd.DataFrame]):
+        os.makedirs(bare, exist_ok=True)
+        for pdf in frames:
+            done = []
+            for u, name in zip(pdf["url"], pdf["file_name"]):
+                place = os.path.join(bare, name)
+                done.append(not os.path.exists(place))
+                if done[-1]:
+                    beside = f"{place}.{uuid.uuid4().hex}.part"
+                    with open(beside, "wb") as out:
+                        out.write(get(u))
+                    os.replace(beside, place)
+            yield pd.DataFrame({"url": pdf["url"], "file_name": pdf["file_name"], "fetched": done})
+
+    return checkpoint(wanted.select("url", "file_name").mapInPandas(run, "url string, file_name string, fetched boolean"))
+
+
 def listing(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> DataFrame:
     """(file_name) of the files in a folder; their content is not read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
@@ -89,7 +118,7 @@ def extract_pages(content: bytes) -> list[str]:
 
 
 def documents(spark: SparkSession, folder: str, most: int = -1, extract: Callable[[bytes], list[str]] = extract_pages, pattern: str = "*.pdf") -> DataFrame:
-    """(id_jems, text_pages, num_pages) of every file of a folder.
+    """(id_jems, text_pages, num_pages, file_name) of every file of a folder.
 
     Blank pages at the end go, then the first ``most`` are kept (0 and below: all).
     """
@@ -100,8 +129,9 @@ def documents(spark: SparkSession, folder: str, most: int = -1, extract: Callabl
             yield pd.DataFrame({"path": pdf["path"], "p": [extract(bytes(c)) for c in pdf["content"]]})
 
     got = files.mapInPandas(run, "path string, p array<string>").withColumn("text_pages", pages.capped(pages.trim_trailing(F.col("p")), most))
-    name = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]*$", "")
-    return got.select(F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias("id_jems"), "text_pages", F.size("text_pages").alias("num_pages"))
+    file = F.element_at(F.split("path", "/"), -1)
+    name = F.regexp_replace(file, r"\.[^.]*$", "")
+    return got.select(F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias("id_jems"), "text_pages", F.size("text_pages").alias("num_pages"), file.alias("file_name"))
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -109,6 +139,6 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFr
     return spark.read.schema(schema).option("header", True).option("sep", ";").option("multiLine", True).option("escape", '"').csv(path)
 
 
-def read_snapshot(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """A JSON snapshot written by `sinks.write_snapshot`."""
-    return spark.read.schema(schema).json(path)
+def read_snapshot(spark: SparkSession, path: str, schema: StructType | str, pretty: bool = False) -> DataFrame:
+    """A JSON snapshot written by `sinks.write_snapshot`, or (``pretty``) one array in one file."""
+    return spark.read.schema(schema).option("multiLine", pretty).json(path)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 
 from biblioflow.functions import ids, people
-from biblioflow.operators.tables import assign_sections, carry_forward, number_rows
+from biblioflow.operators.tables import assign_sections, carry_forward, nest, number_rows
 
 _VOID = {"br", "img", "input", "meta", "link", "hr", "col", "area", "base", "source", "wbr"}
 
@@ -85,18 +85,28 @@ def pdf_links(found: DataFrame, key: str, most: int = -1) -> DataFrame:
     return kept.select(key, "link_no", ids.download_url(url).alias("url"), ids.file_name(ids.download_url(url)).alias("file_name"))
 
 
-def contents(found: DataFrame, key: str) -> DataFrame:
-    """Articles of contents pages: seq, section, title, first page, identifier, metadata address.
+def _headings(found: DataFrame) -> DataFrame:
+    return found.where((F.col("tag") == "h4") & F.col("css").contains("tocSectionTitle"))
+
+
+def headings(found: DataFrame, key: str) -> DataFrame:
+    """(key, head_pos, section) of every section heading of contents pages, those without entries and repeated ones too."""
+    return _headings(found).select(key, F.col("pos").alias("head_pos"), F.trim("text").alias("section"))
+
+
+def contents(found: DataFrame, key: str, most: int = -1) -> DataFrame:
+    """Articles of contents pages: seq, heading, section, title, first page, identifier, metadata address.
 
     An entry belongs to the heading before it while only tables follow. An entry
-    without a PDF link keeps the metadata address of the entry before it.
+    without a PDF link keeps the metadata address of the entry before it. ``most``
+    keeps the first so many articles (-1: all).
     """
     # siblings of the headings only: nodes that share a heading's parent
-    heads = found.where((F.col("tag") == "h4") & F.col("css").contains("tocSectionTitle"))
+    heads = _headings(found)
     level = heads.select(key, "parent").distinct()
     siblings = found.join(level, [key, "parent"])
     entries = assign_sections(siblings.select(key, "pos", "tag"), key, "pos", "tag")
-    titles = heads.select(key, F.col("pos").alias("head_pos"), F.trim("text").alias("section"))
+    titles = headings(found, key)
     inner = found.where(F.col("css").isin("tocTitle", "tocPages") | (F.col("tag") == "a"))
     # an inner node lies in the last entry that starts before it
     marks = entries.select(key, "pos", "head_pos", F.lit("entry").alias("what"), F.lit(None).cast("string").alias("value"))
@@ -107,11 +117,12 @@ def contents(found: DataFrame, key: str) -> DataFrame:
     wide = both.where("entry is not null").groupBy(key, "entry").agg(
         F.max("head_pos").alias("head_pos"), *[F.first(F.when(F.col("what") == n, F.col("value")), True).alias(n) for n in ("title", "first_page", "url")]
     )
-    rows = wide.join(titles, [key, "head_pos"]).withColumn("meta", ids.metadata_url(F.regexp_replace("url", r"/[^/]*$", "")))
+    rows = wide.join(titles, [key, "head_pos"]).withColumn("meta", ids.metadata_url(F.col("url")))
     rows = carry_forward(rows, "meta", [F.col("entry")], "metadata_url", key)
     rows = number_rows(rows, [F.col(key), F.col("entry")], "seq")
+    rows = rows.where(F.col("seq") <= most) if most >= 0 else rows
     return rows.select(
-        key, "seq", "section", F.coalesce("title", F.lit("")).alias("title_orig"), F.coalesce("first_page", F.lit("")).alias("first_page"),
+        key, "seq", "head_pos", "section", F.coalesce("title", F.lit("")).alias("title_orig"), F.coalesce("first_page", F.lit("")).alias("first_page"),
         F.coalesce(ids.page_key(F.col("url")), F.lit("No PDF link found")).alias("id_jems"), "metadata_url",
     )
 
@@ -143,3 +154,15 @@ def page_authors(found: DataFrame, key: str) -> DataFrame:
         key, order.alias("item_order"), first.alias("author_first_name"), middle.alias("author_middle_name"), last.alias("author_last_name"),
         F.col("cell.affiliation").alias("author_affiliation"), F.col("cell.country").alias("author_country"),
     )
+
+
+def metadata(found: DataFrame, key: str) -> DataFrame:
+    """One row per metadata page: title, DOI, original and English abstract, authors in order; '' and [] where a page has none.
+
+    The English abstract is read but left out of an article, as the site's records have it.
+    """
+    cells = labelled_cells(found, key, {"title": "Título do documento", "doi": r"Digital Object Identifier \(DOI\)", "text": "Resumo|Abstract"})
+    original, english = people.split_abstract(F.col("text"))
+    fields = ["author_first_name", "author_middle_name", "author_last_name", "author_affiliation", "author_country"]
+    facts = cells.select(key, "title", ids.normalize_doi(F.col("doi")).alias("doi"), original.alias("abstract_orig"), english.alias("abstract_en"))
+    return nest(facts, page_authors(found, key), key, ["item_order"], fields, "authors")

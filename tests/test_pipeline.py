@@ -18,7 +18,8 @@ TOC = """<html><body><div>
 <table><tr><td><div class="tocTitle">Title B</div></td></tr></table>
 <div>end</div>
 <table><tr><td><div class="tocTitle">never</div></td></tr></table>
-<h4 class="tocSectionTitle">Full Papers</h4>
+<h4 class="tocSectionTitle">Editorial</h4>
+<h4 class="tocSectionTitle">Artigos Completos</h4>
 <table><tr><td><div class="tocTitle">Title C</div><div class="tocPages">iv</div><a href="http://host/index.php/x/article/view/1115/1018">PDF</a></td></tr></table>
 </div></body></html>"""
 META = """<table><tr><td>1.</td><td>Título do documento</td><td>T &amp; U</td></tr>
@@ -29,9 +30,12 @@ def test_contents(spark):
     found = html.nodes(spark.createDataFrame([(1, TOC), (2, None), (3, "")], "page int, markup string"), "page", "markup")
     got = [tuple(r) for r in html.contents(found, "page").orderBy("seq").select("section", "title_orig", "first_page", "id_jems", "metadata_url").collect()]
     assert [g[:4] for g in got] == [
-        ("Artigos Completos", "Title A", "10", "1017"), ("Artigos Completos", "Title B", "", "No PDF link found"), ("Full Papers", "Title C", "iv", "1018"),
+        ("Artigos Completos", "Title A", "10", "1017"), ("Artigos Completos", "Title B", "", "No PDF link found"), ("Artigos Completos", "Title C", "iv", "1018"),
     ]
-    assert got[0][4] == got[1][4] and "rt/metadata/1114" in got[0][4]
+    assert got[0][4] == got[1][4] == "http://host/index.php/x/rt/metadata/1114/1017"
+    assert [r["title_orig"] for r in html.contents(found, "page", 2).orderBy("seq").collect()] == ["Title A", "Title B"]
+    heads = pipeline.site_sections(found, "page").orderBy("head_pos")
+    assert [(r["section"], r["section_abbrev"]) for r in heads.collect()] == [("Artigos Completos", "ART-C"), ("Editorial", "EDT"), ("Artigos Completos", "ART-C-1")]
     links = html.pdf_links(found, "page", 1).collect()
     assert [(r["url"], r["file_name"]) for r in links] == [("http://host/index.php/x/article/download/1114/1017", "1017.pdf")]
 
@@ -39,6 +43,8 @@ def test_contents(spark):
 def test_metadata(spark):
     found = html.nodes(spark.createDataFrame([(1, META)], "page int, markup string"), "page", "markup")
     assert html.labelled_cells(found, "page", {"title": "Título do documento", "doi": "Identifier"}).first().asDict() == {"page": 1, "title": "T & U", "doi": ""}
+    whole = html.metadata(found, "page").first()
+    assert (whole["title"], whole["doi"], whole["abstract_orig"], [a["author_last_name"] for a in whole["authors"]]) == ("T & U", "", "", ["Lima"])
     got = html.page_authors(found, "page").collect()
     assert [(r["author_first_name"], r["author_middle_name"], r["author_last_name"], r["author_affiliation"]) for r in got] == [("Ana", "B.", "Lima", "Univ X")]
 
@@ -122,22 +128,112 @@ def test_documents_and_download(spark, tmp_path):
     docs = files.documents(spark, str(tmp_path), 0, lambda b: b.decode().split("|")).first()
     assert (docs["id_jems"], docs["text_pages"], docs["num_pages"]) == ("1017", ["p1", "p2"], 2)
     urls = spark.createDataFrame([("http://h/1017",), ("http://h/9",)], "u string")
-    got = files.download(urls, "u", "", files.listing(spark, str(tmp_path)), lambda u: u.encode()).collect()
+    got = files.download(urls, "u", files.listing(spark, str(tmp_path)), lambda u: u.encode()).collect()
     assert [(r["file_name"], bytes(r["content"])) for r in got] == [("9.pdf", b"http://h/9")]
+    landed = sorted(tuple(r) for r in files.land(urls, "u", str(tmp_path), lambda u: u.encode()).collect())
+    assert landed == [("http://h/1017", "1017.pdf", False), ("http://h/9", "9.pdf", True)]
+    assert (tmp_path / "9.pdf").read_bytes() == b"http://h/9" and (tmp_path / "1017.pdf").read_bytes() == b"p1|p2||"
+
+
+def test_fetch_reads_an_address(tmp_path):
+    (tmp_path / "x").write_bytes(b"body")
+    assert files.fetch((tmp_path / "x").as_uri()) == b"body"
+    with pytest.raises(OSError):
+        files.fetch((tmp_path / "none").as_uri())
+
+
+def test_landing_and_reading_as_one_flow(spark, tmp_path):
+    page = spark.createDataFrame([(1, TOC)], "page int, markup string")
+    docs = pipeline.landed_documents(spark, page, str(tmp_path / "pdf"), 1, 1, lambda u: (u + "|two").encode(), lambda b: b.decode().split("|"))
+    assert [(r["id_jems"], r["text_pages"], r["num_pages"]) for r in docs.collect()] == [("1017", ["http://host/index.php/x/article/download/1114/1017"], 1)]
+
+
+def read_rows(folder, name):
+    return [r for p in sorted(Path(folder, name).glob("**/part-*.csv")) for r in csv.reader(open(p, newline="", encoding="utf-8"), delimiter=";")]
+
+
+META_PAGE = META.replace("<table>", '<table><tr><td>0.</td><td>Digital Object Identifier (DOI)</td><td>https://doi.org/10.5753/site.2019.7</td></tr><tr><td>9.</td><td>Resumo</td><td>Resumo: um. Abstract: one.</td></tr>')
+
+
+def test_metadata_pages_join_the_site(spark):
+    found = html.nodes(spark.createDataFrame([(1, TOC)], "page int, markup string"), "page", "markup")
+    stated = spark.createDataFrame([("http://host/index.php/x/rt/metadata/1114/1017", META_PAGE), (None, "x")], "url string, markup string")
+    got = {r["title_orig"]: r for r in pipeline.site_articles(found, pipeline.site_sections(found, "page"), stated).collect()}
+    assert (got["Title A"]["title_orig2"], got["Title A"]["doi"], got["Title A"]["site_abstract"]) == ("T & U", "10.5753/site.2019.7", "um.")
+    assert (got["Title C"]["title_orig2"], got["Title C"]["doi"], got["Title C"]["section_abbrev"]) == ("", "", "ART-C-1")
 
 
 def test_whole_run(spark, tmp_path):
     answer = json.dumps({"titleOrig": "T", "titleEn": "", "abstractOrig": "R", "keywordsOrig": "k", "doi": "10.5753/ab.2019.1", "authors": [{"authorFirstName": "Ana", "authorLastName": "Lima"}], "references": [{"description": "d1"}, {"description": "d2"}]})
-    docs = spark.createDataFrame([("1017", ["a", "b"], 2), ("1018", ["c"], 1), ("9", ["z"], 1)], "id_jems string, text_pages array<string>, num_pages int")
-    out = pipeline.run(spark.createDataFrame([(1, TOC)], "page int, markup string"), docs, lambda: completion.Offline(default=answer), str(tmp_path), year="2019")
+    docs = spark.createDataFrame([("1017", ["old", "x", "y"], 3, 1), ("1017", ["a", "b"], 2, 2), ("1018", ["c"], 1, 3), ("9", ["z"], 1, 4)], "id_jems string, text_pages array<string>, num_pages int, position int")
+    stated = spark.createDataFrame([("http://host/index.php/x/rt/metadata/1114/1017", META_PAGE)], "url string, markup string")
+    make = lambda: completion.Offline(default=answer)
+    out = pipeline.run(spark.createDataFrame([(1, TOC)], "page int, markup string"), docs, make, str(tmp_path), stated, year="2019")
     got = {r["idJEMS"]: r for r in out.collect()}
     assert set(got) == {"1017", "1018"}
-    assert (got["1017"]["pages"], got["1017"]["sectionAbbrev"]) == ("10-11", "ART-C") and got["1018"]["sectionAbbrev"] == "ART-C-1"
+    assert (got["1017"]["pages"], got["1017"]["sectionAbbrev"], got["1017"]["titleOrig2"]) == ("10-11", "ART-C", "T & U") and got["1018"]["sectionAbbrev"] == "ART-C-1"
+    before = files.read_snapshot(spark, str(tmp_path / f"{pipeline.SNAPSHOTS[0]}.json"), out.schema).orderBy("seq").collect()
+    # the site's DOI stays, is first in the pool, and gives the prefix of the other
+    assert [r["doi"] for r in before] == ["10.5753/site.2019.7", "10.5753/site.2019.2019.iv"]
     for name in ("antes_Artigos.csv", "Artigos.csv", "Autores.csv", "Referencias.csv", "Secoes.csv"):
-        cells = [r for p in sorted(Path(tmp_path, name).glob("part-*.csv")) for r in csv.reader(open(p, newline="", encoding="utf-8"), delimiter=";")]
-        assert len(cells) > 1
-    refs = [r for p in sorted(Path(tmp_path, "Referencias.csv").glob("part-*.csv")) for r in csv.reader(open(p, newline="", encoding="utf-8"), delimiter=";") if r[0] != "article"]
+        assert len(read_rows(tmp_path, name)) > 1
+    assert [r[:3] for r in read_rows(tmp_path, "Secoes.csv") if r[0] != "sectionTitle"] == [["Artigos Completos"] * 2 + ["ART-C"], ["Editorial"] * 2 + ["EDT"], ["Artigos Completos"] * 2 + ["ART-C-1"]]
+    refs = [r for r in read_rows(tmp_path, "Referencias.csv") if r[0] != "article"]
     assert sorted((r[0], r[1], r[-1]) for r in refs) == [("1", "d1", "1"), ("1", "d2", "2"), ("2", "d1", "1"), ("2", "d2", "2")]
+    # in its section every article is the first, and its items name it so
+    for name, n in (("Artigos", 1), ("Autores", 1), ("Referencias", 2)):
+        for section in ("ART-C", "ART-C-1"):
+            rows = [r for r in read_rows(tmp_path, f"por_workshop/{name}/section={section}") if r[0] not in ("seq", "article")]
+            assert len(rows) == n and {r[0] for r in rows} == {"1"}
+    again = pipeline.replay(spark, make, str(tmp_path), out.schema)
+    assert sorted(map(str, again.collect())) == sorted(map(str, out.collect()))
+
+
+def test_gate_counts_authors_and_ids(spark):
+    schema = "seq int, language string, sectionAbbrev string, titleOrig string, titleEn string, abstractOrig string, abstractEn string, keywordsOrig string, keywordsEn string, pages string, idJEMS string, doi string, authors array<struct<authorFirstName:string>>, references array<string>"
+    full = (1, "pt", "S", "t", "t", "a", "a", "k", "k", "1", "i", "d", [("x",)], None)
+    df = spark.createDataFrame([full, (*full[:12], [], None)], schema)
+    gate = pipeline.tables.needs_completion(df, ("titleOrig", "titleEn"), "sectionAbbrev")
+    assert [r[0] for r in df.select(gate).collect()] == [False, True]
+
+
+def test_pages_with_torn_accents_are_repaired(spark):
+    df = spark.createDataFrame([(1, "a  b"), (2, "educac¸˜ao"), (3, "c¸˜ao  x")], "i int, first string")
+    make = lambda: completion.Offline({"educac¸˜ao": "educação"}, "")
+    assert [r["first"] for r in pipeline.clean_pages(df, "first", make).orderBy("i").collect()] == ["a b", "educação", "c¸˜ao x"]
+
+
+def test_affiliations_are_sent_with_their_header(spark):
+    authors = spark.createDataFrame([(1, 1, "u; v", ""), (1, 2, None, "e"), (2, 1, "z", "")], "article int, `order` int, authorAffiliation string, authorAffiliationEn string")
+    body = 'authorAffiliation;authorAffiliationEn\n"u; v";\n;e\nz;'
+    answer = '[{"originalAuthorAffiliation":"u; v","authorAffiliation":"U","authorAffiliationEn":"UE"}]'
+    got = pipeline.correct_affiliations(authors, lambda: completion.Offline({body: answer})).orderBy("article", "order").collect()
+    assert [(r["authorAffiliation"], r["authorAffiliationEn"]) for r in got] == [("U", "UE"), (None, None), (None, None)]
+
+
+def test_pretty_snapshot(spark, tmp_path):
+    df = spark.createDataFrame([(2, "é", [("x",)]), (1, None, [])], "a long, b string, c array<struct<d:string>>")
+    path = str(tmp_path / "s.json")
+    assert sinks.write_json_file(df, path, ["a"]) == 2
+    assert json.loads(Path(path).read_text(encoding="utf-8")) == [{"a": 1, "b": None, "c": []}, {"a": 2, "b": "é", "c": [{"d": "x"}]}]
+    assert sorted(map(str, files.read_snapshot(spark, path, df.schema, True).collect())) == sorted(map(str, df.collect()))
+    assert sinks.write_json_file(df.limit(0), path, ["a"]) == 0 and json.loads(Path(path).read_text()) == []
+    sinks.dump_documents(df, str(tmp_path))
+    assert files.read_snapshot(spark, str(tmp_path / "text.json"), df.schema).count() == 2
+
+
+def test_lists_keep_objects_only(spark):
+    df = spark.createDataFrame([("p", "q")], "f string, l string")
+    answers = {"p": '{"titleOrig": "T", "authors": [{"authorFirstName": "A"}, null]}', "q": '{"references": [null, {"description": "d"}]}'}
+    got = completion.extract_articles(df, "f", "l", lambda: completion.Offline(answers)).first()
+    assert [a["authorFirstName"] for a in got["article"]["authors"]] == ["A"] and [r["description"] for r in got["refs"]] == ["d"]
+
+
+def test_headers_and_prompts(tmp_path):
+    (tmp_path / "h.json").write_text('{"articles": ["b", "a"]}')
+    assert sinks.load_headers(str(tmp_path / "h.json")) == {"articles": ("b", "a")}
+    made = completion.clients(files.Config({}), completion.Offline)
+    assert set(made) == set(completion.CLIENTS) and made["article_ai_client"] == (completion.Offline, "")
 
 
 def test_provider_factory():
@@ -145,3 +241,4 @@ def test_provider_factory():
     made = completion.factory({"completion_url": "http://h", "engine": "m"}, {"COMPLETION_KEY": "k"})()
     assert (made.url, made.key, made.model, made.most_tokens) == ("http://h", "k", "m", 4000)
     assert completion.options("o3-mini") == {} and completion.options("m") == {"temperature": 0}
+    assert completion.options("m", True)["response_format"] == {"type": "json_object"} and "response_format" not in completion.options("gpt-5-nano-1", True)
