@@ -257,6 +257,23 @@ def test_added_sentences_do_not_unmake_a_translation():
     assert bitext.align("O gato vermelho dorme 12 horas em Tobal.", "The cat of Gugar sleeps 77 hours with Zemar." + added, table) == []
 
 
+def test_points_off_the_lines_are_noise():
+    straight = [(i, i + i % 2) for i in range(8)]
+    assert bitext._on_lines(straight, (8, 9), 1.0) == straight
+    turned = [(i, i + 5) for i in range(4)] + [(i, i - 5) for i in range(5, 9)]  # two clauses that change places
+    assert bitext._on_lines(turned, (9, 9), 1.0) == turned
+    stray = [*straight[:4], (5, 0), *straight[6:]]
+    assert bitext._on_lines(stray, (8, 9), 1.0) == [p for p in stray if p != (5, 0)]
+
+
+def test_a_merged_sentence_shrinks_to_its_statement():
+    w = np.zeros((20, 8), np.float32)
+    w[np.arange(11, 19), np.arange(8)] = 1.0
+    w[2, 3] = w[5, 6] = 1.0
+    kept = bitext._shrunk(w, 1.0)
+    assert kept[:6].sum() == 0 and kept[11:19].sum() == 8 and bitext._shrunk(w[11:19], 1.0).sum() == 8
+
+
 def test_equal_sentences_are_paired_in_place():
     table = {"chuva": {"rain": 0.9}, "forte": {"heavy": 0.9}, "gato": {"cat": 0.9}, "dorme": {"sleeps": 0.9}}
     got = bitext.align("O gato dorme em Tobal. Chuva forte.", "Heavy rain. The cat sleeps in Tobal. Heavy rain.", table)
