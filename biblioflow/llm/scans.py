@@ -1,16 +1,18 @@
 """Repair of text taken from scanned pages (problem 6).
 
 An averaged perceptron edits characters: at every doubtful place it predicts keep,
-delete, replace or insert; lines are joined by rule. A second one, fed with where a line stands on
+delete, replace, insert or join, of all five. A second one, fed with where a line stands on
 the page and what it looks like, predicts which lines are page furniture; a third
 one, fed with the form and the surroundings of proposed spans, does so for furniture
 inside a line. All are
 trained on clean texts of the table itself that are damaged on purpose, so no
 labels are needed; the clean sample is bounded by SAMPLE.
 
-Places are doubtful where a cut mark or white space stands between letters whose
-joining gives a known word, where letters stand apart, or where undoing one known
-misreading turns an unknown token into a known word. Elsewhere no evidence for an
+Places are doubtful at every line break, where a cut mark or white space stands
+between letters whose joining gives a known word, where letters stand apart, or where
+undoing one known misreading turns an unknown token into a known word. An edit is made
+when the editor predicts the one that the place allows; a line break that it keeps
+is the bound of a paragraph. Elsewhere no evidence for an
 edit exists and the text is kept without asking the editor. Known words are counted
 over all rows.
 """
@@ -20,6 +22,7 @@ from __future__ import annotations
 import random
 import re
 import unicodedata
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -81,6 +84,23 @@ def known_words(df: DataFrame, columns: list[str], share: float = SHARE) -> dict
     return {r["word"].replace("’", "'"): r["n"] for r in kept.select("word", "n").collect()}
 
 
+class Parts:
+    """What may be a piece of a known word: two letters of it or more, not all. Two bytes a piece; one in sixteen others passes too."""
+
+    LONGEST = 60  # letters; what is longer is no word
+
+    def __init__(self, words):
+        seen = {zlib.crc32(w[i:j].encode()) for w in words if len(w) <= self.LONGEST for i in range(len(w)) for j in range(i + 2, len(w) + 1) if j - i < len(w)}
+        self.size = 1 << max(10, (16 * len(seen)).bit_length())
+        bits = np.zeros(self.size, bool)
+        bits[np.fromiter(seen, np.int64, len(seen)) % self.size] = True
+        self.bits = np.packbits(bits, bitorder="little").tobytes()
+
+    def __contains__(self, piece: str) -> bool:
+        at = zlib.crc32(piece.encode("utf-8", "replace")) % self.size
+        return len(piece) > 1 and bool(self.bits[at >> 3] >> (at & 7) & 1)
+
+
 class Words:
     """Known words, and what each misread form of one stands for."""
 
@@ -100,7 +120,7 @@ class Words:
                         self.counts.pop(seen, None)
                     at = w.find(good, at + 1)
 
-        self.parts = {w[i:j] for w in self.counts if len(w) > 4 for i in range(len(w)) for j in range(i + 2, min(len(w), i + 12) + 1) if j - i < len(w)}
+        self.parts = Parts(w for w in self.counts if len(w) > 4)
         self.judged: dict[str, int] = {}
 
     def judge(self, token: str) -> int:
@@ -167,7 +187,9 @@ def places(text: str, words: Words) -> list[tuple[int, int, str, str, list[str]]
             x, y = around(m.start(), m.end())
             g = m.group()
             kind = ("soft" if "\xad" in g else "not" if "¬" in g else "hyphen") + ("-line" if "\n" in g else "-space" if " " in g else "")
-            found.append((m.start(), m.end(), "delete", "", pair_features(kind, x, y)))
+            before = text[m.start() - 1]
+            odd = "low" if before.islower() else "plain" if before.isascii() else before
+            found.append((m.start(), m.end(), "delete", "", [*pair_features(kind, x, y), f"{kind} after {odd}", f"{kind} after {odd} joined {x + y in counts}"]))
     covered: list[tuple[int, int]] = []
     for m in _SPACED.finditer(text) if apart else ():
         letters = re.sub(r"\s+", "", m.group())
@@ -213,7 +235,7 @@ def places(text: str, words: Words) -> list[tuple[int, int, str, str, list[str]]
             odd = not bad.isalpha() or not bad.isascii()
             found.append((a + at, a + at + len(bad), edit, good, [f"misread {kind}", f"odd {odd}", f"word {_bucket(words.count(good_word))}", f"len {min(len(good_word), 8)} {odd}"]))
             continue
-        if i <= last or w not in words.parts or not w.isalpha() or len(w) > 14 or text[a].isupper() and not text[a:b].isupper() and w not in counts and len(w) > 6:
+        if i <= last or w not in words.parts or not w.isalpha() or text[a].isupper() and not text[a:b].isupper() and w not in counts and len(w) > 6:
             continue
         # pieces of one torn word: two to five neighbours that join into a known word
         for n in (5, 4, 3, 2):
@@ -241,6 +263,27 @@ def places(text: str, words: Words) -> list[tuple[int, int, str, str, list[str]]
     return sorted(found, key=lambda x: (x[0], x[1]))
 
 
+_BREAK = re.compile(r"[^\S\n\f]*\r?\n[\s\f]*")
+
+
+def breaks(text: str) -> list[tuple[int, int, str, str, list[str]]]:
+    """Every line break between lines as a place of the edit 'join', a blank in its stead."""
+    found = []
+    widest = max((len(line) for line in text.split("\n")), default=0)
+    start = 0
+    for m in _BREAK.finditer(text):
+        a, b = m.span()
+        line = a - start
+        start = b
+        if a == 0 or b == len(text):
+            continue
+        last, first = _side(text[a - 1]), _side(text[b])
+        many, full = min(2, m.group().count("\n")), line >= 0.7 * widest
+        f = [f"break {many}", f"break {many} {last}", f"break {last} {first}", f"break {many} full {full}", f"break {last in ('.', '!', '?')} {first} full {full} {many}"]
+        found.append((a, b, "join", " ", f))
+    return found
+
+
 _PAGE = re.compile(r"^\W*(?:p[áa]g(?:ina|\.)?|page|p\.)?\s*\W*\d{1,5}\W*(?:\|\W*\d{1,5}\W*)?$", re.I)
 _TITLE = r"[A-ZÀ-Ý][\w'’]+(?:(?: (?:d[aeo]s?|de|del|of|the|on|e|y|in|em|la|las|los|sobre|na|no|para|and|et|des|du))* [A-ZÀ-Ý][\w'’]+)+"
 # one roman letter after or before a name is rather an initial, unless a year closes the span
@@ -409,9 +452,26 @@ class Perceptron:
             self.w[f] = v - total[f] / max(1, step)
 
 
+def _wrapped(text: str, rng: random.Random) -> str:
+    """A text in lines of one width."""
+    width = rng.randint(40, 90)
+    lines, line = [], ""
+    for w in text.split():
+        if line and len(line) + len(w) >= width:
+            lines.append(line)
+            line = w
+        else:
+            line = f"{line} {w}" if line else w
+    return rng.choice(["\n", "\n", "\r\n", " \n"]).join([*lines, line])
+
+
 def _damage(text: str, rng: random.Random, titles: list[str]) -> tuple[str, list[tuple[int, int]], set[int]]:
     """A damaged copy, the (start, stop) spans of cuts and misreadings, and the furniture lines."""
     kinds = rng.sample(["cut", "space", "torn", "misread", "typo", "wrap", "furniture"], rng.randint(1, 4))
+    if rng.random() < 0.15:  # a wrong encoding is no damage of a scan, though it may hold soft hyphens
+        for _ in range(rng.choice([1, 1, 2])):
+            text = text.encode("utf-8", "replace").decode(rng.choice(["latin-1", "latin-1", "cp1252"]), "ignore")
+        return text, [], set()
     out: list[str] = []
     size = 0
     spans: list[tuple[int, int]] = []
@@ -506,7 +566,12 @@ class Editor:
                 damaged, spans, furniture = _damage(text, rng, titles) if copy or rng.random() < 0.5 else (text, [], set())
                 for a, b, edit, _, f in places(damaged, self.words):
                     hit = any(x < b and a < y for x, y in spans)
-                    data.append((f, edit if hit else "keep", ("keep", edit)))
+                    data.append((f, edit if hit else "keep", OPS))
+                # lines of one text are joined, the bound between two texts is a paragraph's
+                bound = rng.choice(["\n\n", "\n\n", "\n", "\r\n\r\n"])
+                one = _wrapped(damaged, rng)
+                two = one + bound + _wrapped(rng.choice(clean), rng)
+                data += [(f, "keep" if len(one) <= a < len(one) + len(bound) else "join", OPS) for a, b, _, _, f in breaks(two)]
                 rows = damaged.split("\n")
                 if len(rows) > 1:
                     lines += [(line_features(rows, i), "furniture" if i in furniture else "text", ("text", "furniture")) for i in range(len(rows))]
@@ -552,7 +617,7 @@ class Editor:
             text = text[:a].rstrip(" ") + text[b:] if text[:a].strip() else text[b:].lstrip(" ")
         out, at = [], 0
         for a, b, edit, new, f in places(text, self.words):
-            if a < at or self.chars.predict(f, ("keep", edit)) == "keep":
+            if a < at or self.chars.predict(f) != edit:
                 continue
             edits += 1
             if f[0] == "torn":
@@ -560,8 +625,14 @@ class Editor:
             out += [text[at:a], new]
             at = b
         out.append(text[at:])
-        joined = re.sub(r"[^\S\n]*\r?\n[^\S\n]*", " ", "".join(out)).replace("\f", " ")
-        return joined, edits
+        whole = "".join(out)
+        if not edits or "\n" not in whole:
+            return whole.replace("\f", " "), edits
+        lines, at = [], 0
+        for a, b, edit, new, f in breaks(whole):
+            lines += [whole[at:a], new if self.chars.predict(f) == edit else "\n\n"]
+            at = b
+        return "".join([*lines, whole[at:]]).replace("\f", " "), edits
 
 
 def train(df: DataFrame, column: str, words: dict[str, int], titles: list[str], sample: int = SAMPLE) -> Editor:

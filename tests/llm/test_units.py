@@ -331,3 +331,30 @@ def test_mistyped_suffix():
     a = names.readings("Vinícius", None, "Dinel leto", given)
     assert names.same_person(a, names.readings("V.", "", "Dinel Neto", given))
     assert not names.same_person(a, names.readings("V.", "", "Dinel Filho", given))
+
+
+def _scan_editor():
+    rng = random.Random(4)
+    words = ["educação", "informática", "tecnologia", "português", "sistema", "aluno", "professor", "escola", "leitura", "currículo", "benefício", "programação"]
+    clean = [" ".join(rng.choices(words, k=rng.randint(12, 40))).capitalize() + "." for _ in range(300)]
+    return scans.Editor(scans.Words({w: 400 for w in words})).fit(clean, ["Anais de Escola e Tecnologia"]), words
+
+
+def test_the_editor_joins_lines_and_keeps_paragraphs():
+    editor, words = _scan_editor()
+    one = " ".join(words[:6]) + "\n" + " ".join(words[6:9]) + " informá-\ntica " + " ".join(words[9:]) + "."
+    got, edits = editor.repair(one + "\n\n" + one.capitalize())
+    line = one.replace("-\n", "").replace("\n", " ")
+    assert got == line + "\n\n" + line.capitalize() and edits == 2
+
+
+def test_soft_hyphens_of_a_wrong_encoding_are_no_cuts():
+    editor, words = _scan_editor()
+    assert editor.repair("escola informá\xadtica leitura")[1] == 1
+    assert editor.repair("escola e currículo e benefício".encode().decode("latin-1"))[1] == 0
+
+
+def test_parts_know_every_piece():
+    parts = scans.Parts(["informatica", "escola"])
+    assert all(w[i:j] in parts for w in ("informatica", "escola") for i in range(len(w)) for j in range(i + 2, len(w) + 1) if j - i < len(w))
+    assert "i" not in parts and sum(f"zq{i}x" in parts for i in range(1000)) < 200
