@@ -139,9 +139,9 @@ def person_cost(a: str, b: str) -> float:
     return 9.0
 
 
-def assign(a: tuple[str, ...], b: tuple[str, ...], cost) -> tuple[float, list[tuple[int, int]]]:
-    """The cheapest assignment of all tokens of ``a`` to different tokens of ``b`` (branch and bound)."""
-    best: list = [9.0, []]
+def assign(a: tuple[str, ...], b: tuple[str, ...], cost, below: float = 9.0) -> tuple[float, list[tuple[int, int]]]:
+    """The cheapest assignment of all tokens of ``a`` to different tokens of ``b`` (branch and bound), or ``below`` if none costs less."""
+    best: list = [below, []]
 
     def go(i: int, used: int, total: float, made: list[tuple[int, int]]) -> None:
         if total >= best[0]:
@@ -237,39 +237,62 @@ def _forms(official: str | None, english: str | None) -> list[tuple[str, ...]]:
     return out
 
 
-def organisation_cost(typed: list[str], forms: list[tuple[str, ...]], acronym: str, rare: set[str]) -> float:
-    """Cost of reading a typed affiliation as one listed institution; 9 when it is not."""
+def reach(name: str) -> set[str]:
+    """Keys of a token of an official name: it shares one with `heard` of every typed token that `place_cost` lets stand for it."""
+    got = {f"={name[:i]}" for i in range(1, len(name) + 1)} | {f"<{name[0]}{c}{name[-1]}" for c in name[1:-1]}
+    once = set(deletes(name))
+    return got | {f"~{v}" for v in once} | {f"~{v[:i]}{v[i + 1 :]}" for v in once if len(name) > 5 for i in range(len(v))}
+
+
+def heard(typed: str) -> set[str]:
+    """Keys of a typed token, see `reach`: as a beginning, as a contraction, and within two edits."""
+    once = set(deletes(typed))
+    twice = {f"~{v[:i]}{v[i + 1 :]}" for v in once if len(typed) > 3 for i in range(len(v))}
+    return {f"={typed}", *([f"<{typed[:2]}{typed[-1]}"] if len(typed) > 2 else []), *(f"~{v}" for v in once)} | twice
+
+
+def organisation_cost(typed: list[str], forms: list[tuple[str, ...]], acronym: str, rare: set[str], unsaid: frozenset[str] = frozenset()) -> float:
+    """Cost of reading a typed affiliation as one listed institution; 9 when it is not.
+
+    ``rare`` are the institution's uncommon tokens that are typed. Where none is,
+    ``unsaid`` names them: a form that has any comes after all readings that do not,
+    as it is known by its common words and an abbreviation only.
+    """
     words = [t for t in typed if t not in PARTICLES]
     has = bool(acronym) and acronym in words
     best = 9.0
     for form in forms:
-        key = [t for t in form if t in rare] or [max(form, key=len)]
-        near = {j for k in key for j, w in enumerate(words) if place_cost(k, w) in (0.0, 1.0)}
+        key = [t for t in form if t in rare]
+        near = {j for k in key or form for j, w in enumerate(words) if place_cost(k, w) in (0.0, 1.0)}
         if not near:
             continue
         # tokens of one name stand together, with at most one word between them
-        n = len(form)
+        n, after = len(form), 3.0 * any(t in unsaid for t in form)
         spans = {(s, n + extra) for at in near for extra in (0, 1) for s in range(max(0, at - n - extra + 1), at + 1)}
         for start, length in spans:
             window = tuple(words[start : start + length])
             if len(window) < n or best == 0:
                 continue
-            total, made = assign(form, window, place_cost)
-            if total >= 9 or any(form[i] in key and place_cost(form[i], window[j]) not in (0.0, 1.0) for i, j in made):
+            total, made = assign(form, window, place_cost, 2.1)
+            if total > 2.0 or any(form[i] in key and place_cost(form[i], window[j]) not in (0.0, 1.0) for i, j in made):
                 continue
-            if sum(1 for i, j in made if place_cost(form[i], window[j]) >= 1) <= 2:
-                best = min(best, total + 0.4 * (length - n))
+            total += 0.4 * (length - n)
+            if total <= 2.0 and sum(1 for i, j in made if place_cost(form[i], window[j]) >= 1) <= 2:
+                best = min(best, total + after)
     if best <= 2.0:
         return best - 0.5 * has
-    return 0.6 if has else 9.0
+    return 0.6 if has else best
 
 
 def resolve_organisations(texts: DataFrame, text: str, listed: DataFrame, ident: str, official: str, english: str, acronym: str) -> DataFrame:
     """(text, ident) for every distinct text that names exactly one listed institution best.
 
     Null and empty texts, texts of unlisted organisations and texts that fit two
-    institutions equally well give no row. The index leaves out tokens of more than
-    a twentieth of all institutions (and over 8): such a word alone names none.
+    institutions equally well give no row. An institution is met by any token of it
+    that is in at most a twentieth of all institutions (or 8). One of which none is
+    typed is met too, where every token of one of its names, or its whole acronym, is
+    heard in the text: names are looked up by their rarest token, those of common
+    tokens only by their two rarest.
     """
     inst = listed.select(
         F.col(ident).alias("inst"), F.col(official).alias("official"), F.col(english).alias("english"), F.col(acronym).alias("acronym")
@@ -279,8 +302,8 @@ def resolve_organisations(texts: DataFrame, text: str, listed: DataFrame, ident:
         for pdf in frames:
             rows = []
             for i, o, e, a in zip(pdf["inst"], pdf["official"], pdf["english"], pdf["acronym"]):
-                got = {t for f in _forms(o, e) for t in f} | set(tokens(a))
-                rows += [(i, t) for t in got]
+                got = {t for f in _forms(o, e) for t in f} | {"".join(tokens(a))}
+                rows += [(i, t) for t in got if t]
             yield pd.DataFrame(rows, columns=["inst", "token"])
 
     kind = inst.schema["inst"].dataType.simpleString()
@@ -288,6 +311,7 @@ def resolve_organisations(texts: DataFrame, text: str, listed: DataFrame, ident:
     df = words.groupBy("token").agg(F.count("*").alias("df"))
     n = inst.agg(F.greatest(F.lit(8.0), F.count("*") * F.lit(0.05)).alias("most"))
     rare = words.join(df, "token").crossJoin(F.broadcast(n)).where("df <= most").select("inst", "token")
+    own = rare.groupBy("inst").agg(F.collect_set("token").alias("own"))
 
     def spread(frames: Iterator[pd.DataFrame]):
         for pdf in frames:
@@ -302,20 +326,66 @@ def resolve_organisations(texts: DataFrame, text: str, listed: DataFrame, ident:
             yield pd.DataFrame(rows, columns=["text", "key"])
 
     typed = texts.select(F.col(text).alias("text")).where(F.col("text").rlike(r"\S")).distinct()
-    hits = typed.mapInPandas(typed_keys, "text string, key string").join(keys, "key").groupBy("text", "inst").agg(F.collect_set("token").alias("rare"))
-    facts = hits.join(inst, "inst")
+    near = typed.mapInPandas(typed_keys, "text string, key string").join(keys, "key").select("text", "inst", "token")
+
+    def shapes(frames: Iterator[pd.DataFrame]):
+        for pdf in frames:
+            rows = []
+            for i, o, e, a in zip(pdf["inst"], pdf["official"], pdf["english"], pdf["acronym"]):
+                rows += [(i, k, t) for k, f in enumerate(_forms(o, e)) for t in set(f)]
+                if short := "".join(tokens(a)):
+                    rows.append((i, 2, f"@{short}"))  # only ever typed as it is
+            yield pd.DataFrame(rows, columns=["inst", "form", "token"])
+
+    def said(frames: Iterator[pd.DataFrame]):
+        for pdf in frames:
+            yield pd.DataFrame([(s, t) for s in pdf["text"] for t in {*tokens(s)} - PARTICLES], columns=["text", "word"])
+
+    def name_keys(frames: Iterator[pd.DataFrame]):
+        for pdf in frames:
+            rows = [(t, k) for t in pdf["token"] for k in ([f"={t[1:]}"] if t[0] == "@" else reach(t))]
+            yield pd.DataFrame(rows, columns=["token", "key"])
+
+    def word_keys(frames: Iterator[pd.DataFrame]):
+        for pdf in frames:
+            yield pd.DataFrame([(w, k) for w in pdf["word"] for k in heard(w)], columns=["word", "key"])
+
+    def fits(frames: Iterator[pd.DataFrame]):
+        for pdf in frames:
+            rows = [(w, t) for w, t in zip(pdf["word"], pdf["token"]) if t == f"@{w}" or t[0] != "@" and place_cost(t, w) < 9]
+            yield pd.DataFrame(rows, columns=["word", "token"])
+
+    # which typed words may stand for which tokens is found once a word; longer words than any token by over two fit none
+    parts = inst.mapInPandas(shapes, f"inst {kind}, form int, token string")
+    spoken = typed.mapInPandas(said, "text string, word string")
+    longest = parts.agg(F.max(F.length("token")).alias("longest"))
+    vocabulary = spoken.select("word").distinct().crossJoin(F.broadcast(longest)).where(F.length("word") <= F.col("longest") + 2).select("word")
+    met = parts.select("token").distinct().mapInPandas(name_keys, "token string, key string").join(vocabulary.mapInPandas(word_keys, "word string, key string"), "key")
+    often = df.crossJoin(F.broadcast(n)).where("df > most").select("token", F.col("token").alias("common"))
+    stands = met.select("word", "token").distinct().mapInPandas(fits, "word string, token string").join(often, "token", "left")
+    texts_heard = spoken.join(stands, "word").groupBy("text").agg(F.collect_set("token").alias("heard"), F.collect_set("common").alias("c"))
+    two = F.flatten(F.transform("c", lambda x: F.transform(F.filter("c", lambda y: y >= x), lambda y: F.concat_ws(" ", x, y))))
+    probes = texts_heard.select("text", "heard", F.explode(F.concat("heard", two)).alias("key"))
+    ranked = parts.join(df, "token", "left").groupBy("inst", "form").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "token"))).alias("t"))
+    first, second = F.get("t", F.lit(0)), F.coalesce(F.get("t", F.lit(1)), F.get("t", F.lit(0)))
+    pair = F.concat_ws(" ", F.least(first["token"], second["token"]), F.greatest(first["token"], second["token"]))
+    names = ranked.crossJoin(F.broadcast(n)).select("inst", F.when(first["df"] > F.col("most"), pair).otherwise(first["token"]).alias("key"), F.col("t.token").alias("all"))
+    whole = probes.join(names, "key").where(F.size(F.array_except("all", "heard")) == 0).select("text", "inst", F.lit(None).cast("string").alias("token"))
+    hits = near.unionByName(whole).groupBy("text", "inst").agg(F.collect_set("token").alias("rare"))
+    facts = hits.join(inst.join(own, "inst", "left"), "inst")
 
     def judge(frames: Iterator[pd.DataFrame]):
         for pdf in frames:
             rows = []
-            for i, s, r, o, e, a in zip(pdf["inst"], pdf["text"], pdf["rare"], pdf["official"], pdf["english"], pdf["acronym"]):
+            for i, s, r, o, e, a, u in zip(pdf["inst"], pdf["text"], pdf["rare"], pdf["official"], pdf["english"], pdf["acronym"], pdf["own"]):
                 short = "".join(tokens(a))
-                c = organisation_cost(tokens(s), _forms(o, e), short, set(r) - {short})
+                unsaid = frozenset(() if len(r) or u is None else u)
+                c = organisation_cost(tokens(s), _forms(o, e), short, set(r) - {short}, unsaid)
                 if c < 9:
                     rows.append((s, i, c))
             yield pd.DataFrame(rows, columns=["text", "inst", "cost"])
 
-    judged = facts.select("inst", "text", "rare", "official", "english", "acronym").mapInPandas(judge, f"text string, inst {kind}, cost double")
+    judged = facts.select("inst", "text", "rare", "official", "english", "acronym", "own").mapInPandas(judge, f"text string, inst {kind}, cost double")
     best = judged.groupBy("text").agg(F.min(F.struct("cost", "inst")).alias("b"))
     ties = judged.join(best, "text").where("cost < b.cost + 0.05").groupBy("text").agg(F.count("*").alias("n"), F.min("b.inst").alias("inst"))
     return ties.where("n = 1").select("text", "inst")

@@ -234,6 +234,28 @@ def test_deletes_find_every_single_edit():
         assert names.distance(w, v) <= 1
 
 
+def test_typed_tokens_meet_the_tokens_they_may_stand_for():
+    rng = random.Random(6)
+    met = 0
+    for _ in range(6000):
+        name = "".join(rng.choice("abcd") for _ in range(rng.randint(1, 9)))
+        v = name
+        for _ in range(rng.randint(0, 2)):
+            i = rng.randrange(len(v) + 1)
+            v = rng.choice([v[:i] + v[i + 1 :], v[:i] + rng.choice("abz") + v[i:], v[:i] + "z" + v[i + 1 :], v[:i] + v[i : i + 2][::-1] + v[i + 2 :], v[:i], v[0:1] + "".join(c for c in v[1:-1] if rng.random() < 0.4) + v[1:][-1:]]) or name
+        if names.place_cost(name, v) < 9:
+            met += 1
+            assert names.reach(name) & names.heard(v), (name, v)
+    assert met > 3000
+
+
+def test_uncommon_tokens_left_unsaid_come_last():
+    form, words = [("universidade", "federal", "lupecor")], ["universidade", "federal", "luor"]
+    assert names.organisation_cost(words, form, "", set(), frozenset(["lupecor"])) == 3.3
+    assert names.organisation_cost(words, [("universidade", "federal", "lunor")], "", {"lunor"}) == 1.0
+    assert names.organisation_cost(["univ", "federal", "norte"], [("universidade", "federal", "norte")], "", set()) == 0.15
+
+
 
 def test_sentences_as_stored():
     assert bitext.split_sentences("A b. C d?  E 3.5 f! g") == ["A b.", "C d?", "E 3.5 f!", "g"]
