@@ -251,8 +251,8 @@ def heard(typed: str) -> set[str]:
     return {f"={typed}", *([f"<{typed[:2]}{typed[-1]}"] if len(typed) > 2 else []), *(f"~{v}" for v in once)} | twice
 
 
-def organisation_cost(typed: list[str], forms: list[tuple[str, ...]], acronym: str, rare: set[str], unsaid: frozenset[str] = frozenset()) -> float:
-    """Cost of reading a typed affiliation as one listed institution; 9 when it is not.
+def organisation_cost(typed: list[str], forms: list[tuple[str, ...]], acronym: str, rare: set[str], unsaid: frozenset[str] = frozenset()) -> tuple[float, list[int]]:
+    """Cost of reading a typed affiliation as one listed institution, 9 when it is not, and the places of the words read as its name.
 
     ``rare`` are the institution's uncommon tokens that are typed. Where none is,
     ``unsaid`` names them: a form that has any comes after all readings that do not,
@@ -260,7 +260,7 @@ def organisation_cost(typed: list[str], forms: list[tuple[str, ...]], acronym: s
     """
     words = [t for t in typed if t not in PARTICLES]
     has = bool(acronym) and acronym in words
-    best = 9.0
+    best, places = 9.0, []
     for form in forms:
         key = [t for t in form if t in rare]
         near = {j for k in key or form for j, w in enumerate(words) if place_cost(k, w) in (0.0, 1.0)}
@@ -277,11 +277,11 @@ def organisation_cost(typed: list[str], forms: list[tuple[str, ...]], acronym: s
             if total > 2.0 or any(form[i] in key and place_cost(form[i], window[j]) not in (0.0, 1.0) for i, j in made):
                 continue
             total += 0.4 * (length - n)
-            if total <= 2.0 and sum(1 for i, j in made if place_cost(form[i], window[j]) >= 1) <= 2:
-                best = min(best, total + after)
+            if total <= 2.0 and sum(1 for i, j in made if place_cost(form[i], window[j]) >= 1) <= 2 and total + after < best:
+                best, places = total + after, sorted(start + j for _, j in made)
     if best <= 2.0:
-        return best - 0.5 * has
-    return 0.6 if has else best
+        return best - 0.5 * has, places
+    return (0.6, []) if has else (best, places)
 
 
 def resolve_organisations(texts: DataFrame, text: str, listed: DataFrame, ident: str, official: str, english: str, acronym: str) -> DataFrame:
@@ -380,15 +380,23 @@ def resolve_organisations(texts: DataFrame, text: str, listed: DataFrame, ident:
             for i, s, r, o, e, a, u in zip(pdf["inst"], pdf["text"], pdf["rare"], pdf["official"], pdf["english"], pdf["acronym"], pdf["own"]):
                 short = "".join(tokens(a))
                 unsaid = frozenset(() if len(r) or u is None else u)
-                c = organisation_cost(tokens(s), _forms(o, e), short, set(r) - {short}, unsaid)
+                got = tokens(s)
+                c, places = organisation_cost(got, _forms(o, e), short, set(r) - {short}, unsaid)
                 if c < 9:
-                    rows.append((s, i, c))
-            yield pd.DataFrame(rows, columns=["text", "inst", "cost"])
+                    rows.append((s, i, c, places, not len(r) and short not in got))
+            yield pd.DataFrame(rows, columns=["text", "inst", "cost", "places", "common"])
 
-    judged = facts.select("inst", "text", "rare", "official", "english", "acronym", "own").mapInPandas(judge, f"text string, inst {kind}, cost double")
-    best = judged.groupBy("text").agg(F.min(F.struct("cost", "inst")).alias("b"))
-    ties = judged.join(best, "text").where("cost < b.cost + 0.05").groupBy("text").agg(F.count("*").alias("n"), F.min("b.inst").alias("inst"))
-    return ties.where("n = 1").select("text", "inst")
+    judged = facts.select("inst", "text", "rare", "official", "english", "acronym", "own").mapInPandas(judge, f"text string, inst {kind}, cost double, places array<int>, common boolean")
+    # a name of common words only gives way to a longer one that is read from the same words and more
+    every = F.collect_list(F.struct("cost", "inst", "places", "common")).alias("every")
+
+    def part(x, y):
+        return (y["cost"] <= 2.0) & (F.size(y["places"]) > F.size(x["places"])) & (F.size(F.array_except(x["places"], y["places"])) == 0)
+
+    kept = judged.groupBy("text").agg(every).select("text", F.filter("every", lambda x: ~(x["common"] & F.exists("every", lambda y: part(x, y)))).alias("kept"))
+    least = kept.select("text", "kept", F.array_min(F.transform("kept", lambda x: x["cost"])).alias("least"))
+    ties = least.select("text", F.filter("kept", lambda x: x["cost"] < F.col("least") + 0.05).alias("t"))
+    return ties.where(F.size("t") == 1).select("text", F.get("t", F.lit(0))["inst"].alias("inst"))
 
 
 def same_persons(people: DataFrame, given: frozenset[str]) -> DataFrame:

@@ -195,12 +195,14 @@ def test_institutions_of_common_words_only(spark):
     names_of = [f"{k} {s} do {p} {u}" for k in kinds for s in states for p in places for u in units]
     rows = [(i, n, None, None) for i, n in enumerate(names_of)]  # every word stands in a third of them at least
     rows += [(100 + i, f"Colégio Ilhota{c * 3}", None, "CI") for i, c in enumerate("bcdfghjklm")] + [(200, "Universidade Federal de Zacarim", None, "UF-Z"), (201, "Universidade Federal de Zivetal", None, "CI")]
+    rows += [(300, "Instituto Federal do Norte", None, None), (301, "Instituto Federal do Norte Zumbarim", None, None)]  # one name within another
     inst = spark.createDataFrame(rows, "i long, o string, e string, a string")
     at = {n: i for i, n in enumerate(names_of)}
     typed = {
         names_of[0]: at[names_of[0]], "universidade  estadual do norte, letras": at["Universidade Estadual do Norte Letras"], "Inst. Fed. Oeste Artes": at["Instituto Federal do Oeste Artes"],
         "Laboratório 3 – Universidade Federal do Cetnro Saude": at["Universidade Federal do Centro Saúde"], "Universidade Federal": None, "Norte Artes": None, "Univ. Federal do N. Artes": at["Universidade Federal do Norte Artes"],
         "Universidade Federal de Zaca.": 200, "Universidade Federal de Z.": None, "Grupo de Leitura, UFZ": 200, "CI": None, "CI, Colégio Ilhotabbb": 100, "Univ. Federal de Zivetal (CI)": 201, "Universidade Federal de Zivtal": 201, "": None, None: None,
+        "Instituto Federal do Norte, Campus 2": 300, "Instituto Federal do Norte Zumbarim": 301, "Inst. Federal do Norte Zumbrim": 301, "Instituto Federal do Norte - Artes": at["Instituto Federal do Norte Artes"],
     }
     got = names.resolve_organisations(spark.createDataFrame([(t,) for t in typed] * 2, "t string"), "t", inst, "i", "o", "e", "a").collect()
     assert sorted((r["text"], r["inst"]) for r in got) == sorted((t, i) for t, i in typed.items() if i is not None)

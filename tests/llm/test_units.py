@@ -251,9 +251,9 @@ def test_typed_tokens_meet_the_tokens_they_may_stand_for():
 
 def test_uncommon_tokens_left_unsaid_come_last():
     form, words = [("universidade", "federal", "lupecor")], ["universidade", "federal", "luor"]
-    assert names.organisation_cost(words, form, "", set(), frozenset(["lupecor"])) == 3.3
-    assert names.organisation_cost(words, [("universidade", "federal", "lunor")], "", {"lunor"}) == 1.0
-    assert names.organisation_cost(["univ", "federal", "norte"], [("universidade", "federal", "norte")], "", set()) == 0.15
+    assert names.organisation_cost(words, form, "", set(), frozenset(["lupecor"]))[0] == 3.3
+    assert names.organisation_cost(words, [("universidade", "federal", "lunor")], "", {"lunor"}) == (1.0, [0, 1, 2])
+    assert names.organisation_cost(["univ", "federal", "norte"], [("universidade", "federal", "norte")], "", set()) == (0.15, [0, 1, 2])
 
 
 
